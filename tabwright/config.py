@@ -52,6 +52,8 @@ class SearchOptions:
     max_models: int = 50
     include: frozenset[str] | None = None
     exclude: frozenset[str] = frozenset()
+    include_preprocessors: frozenset[str] | None = None
+    exclude_preprocessors: frozenset[str] = frozenset()
     importance_repeats: int = 10
 
     def __post_init__(self):
