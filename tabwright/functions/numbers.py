@@ -38,5 +38,4 @@ def text_to_double(text: Column) -> Column:
 
 def whole_part(number: Column) -> Column:
     """Truncate toward zero, NULL for infinities (they have no whole part)."""
-    finite = F.abs(number) < F.lit(float("inf"))
-    return F.when(finite, F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).cast("double"))
+    return finite_or_inf(number - number % F.lit(1.0))

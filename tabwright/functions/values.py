@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.numbers import finite_or_inf, is_int_text, text_to_double
+from tabwright.functions.numbers import finite_or_inf
 
 INT, FLOAT, STRING, DATE, UNKNOWN = "int", "float", "string", "date", "unknown"
 LEARNING_TYPES = [INT, FLOAT, STRING, DATE]
@@ -28,6 +28,15 @@ class Cell:
     vtype: Column   # int, float, string, date, unknown; NULL when absent
     number: Column  # double for int and float, NULL otherwise
     text: Column    # canonical text key
+    string: Column  # the content where vtype is string
+
+
+# What each VARIANT tag or wrapper key is to the profile.
+KIND_TYPES = {
+    "BIGINT": INT, "BOOLEAN": INT, "DOUBLE": FLOAT, "FLOAT": FLOAT, "DECIMAL": FLOAT, "STRING": STRING,
+    "DATE": DATE, "TIMESTAMP": DATE, "TIMESTAMP_NTZ": DATE,
+    "$numberDouble": FLOAT, "$numberLong": INT, "$numberInt": INT, "$date": DATE,
+}
 
 
 def as_object(value: Column) -> Column:
@@ -37,80 +46,74 @@ def as_object(value: Column) -> Column:
 
 def wrapper_key(fields: Column) -> Column:
     """Key of a single-key wrapper object, NULL for ordinary objects."""
-    first = F.element_at(F.map_keys(fields), 1)
-    return F.when((F.size(fields) == 1) & F.try_element_at(F.map_keys(fields), F.lit(1)).isin(WRAPPER_KEYS), first)
+    first = F.try_element_at(F.map_keys(fields), F.lit(1))
+    return F.when((F.size(fields) == 1) & first.isin(WRAPPER_KEYS), first)
 
 
 def utc_text(stamp: Column) -> Column:
     """Text of an instant in UTC whatever the session zone is."""
-    local = stamp.cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local).cast("string")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), stamp.cast("timestamp_ntz")).cast("string")
+
+
+def _has_zone(text: Column) -> Column:
+    return text.rlike(r":.*(Z|[+-]\d\d:?\d\d)$")
 
 
 def iso_text_to_date_text(text: Column) -> Column:
     """ISO date text, with or without a zone, as canonical UTC text."""
-    zoned = text.rlike(r"(Z|[+-]\d\d:?\d\d)$") & text.contains(":")
-    return F.when(zoned, utc_text(text.try_cast("timestamp"))).otherwise(
+    return F.when(_has_zone(text), utc_text(text.try_cast("timestamp"))).otherwise(
         text.try_cast("timestamp_ntz").cast("string")
     )
 
 
-def millis_to_date_text(millis: Column) -> Column:
-    return utc_text(F.timestamp_millis(millis))
-
-
-def _wrapped_text(key: Column, inner: Column) -> Column:
-    text = F.try_variant_get(inner, "$", "string")
-    is_text = F.schema_of_variant(inner) == "STRING"
-    whole = F.when(
-        is_text, F.when(is_int_text(text), F.regexp_replace(text, r"[\s_]", "").try_cast("bigint"))
-    ).otherwise(F.try_variant_get(inner, "$", "double").try_cast("bigint"))
-    date_millis = F.coalesce(
-        F.try_variant_get(inner, '$["$numberLong"]', "string").try_cast("bigint"),
-        F.when(~is_text, F.try_variant_get(inner, "$", "bigint")),
+def variant_date_text(kind: Column, core: Column) -> Column:
+    """UTC text of a native date, ISO text or milliseconds."""
+    zoned = (kind == "TIMESTAMP") | F.coalesce(_has_zone(F.try_variant_get(core, "$", "string")), F.lit(False))
+    stamp = F.when(zoned, utc_text(F.try_variant_get(core, "$", "timestamp"))).otherwise(
+        F.try_variant_get(core, "$", "timestamp_ntz").cast("string")
     )
-    date_text = F.coalesce(
-        F.when(is_text, iso_text_to_date_text(text)), millis_to_date_text(date_millis)
-    )
-    return (
-        F.when(key == "$numberDouble", F.coalesce(text_to_double(text).cast("string"), F.lit(MISSING_TEXT[FLOAT])))
-        .when(key.isin("$numberLong", "$numberInt"), F.coalesce(whole.cast("string"), F.lit(MISSING_TEXT[INT])))
-        .when(key == "$date", F.coalesce(date_text, F.lit(MISSING_TEXT[DATE])))
-    )
-
-
-def variant_cell(value: Column, fields: Column | None = None) -> Cell:
-    """Cell of a VARIANT; ``fields`` is ``as_object(value)`` when already at hand."""
-    fields = as_object(value) if fields is None else fields
-    tag = F.schema_of_variant(value)
-    wrap = wrapper_key(fields)
-    is_float = tag.isin("DOUBLE", "FLOAT") | tag.startswith("DECIMAL")
-    is_date = tag.isin("DATE", "TIMESTAMP", "TIMESTAMP_NTZ")
-    vtype = (
-        F.when(value.isNull() | (tag == "VOID"), F.lit(None).cast("string"))
-        .when(tag.isin("BIGINT", "BOOLEAN"), F.lit(INT))
-        .when(is_float, F.lit(FLOAT))
-        .when(tag == "STRING", F.lit(STRING))
-        .when(is_date, F.lit(DATE))
-        .when(wrap == "$numberDouble", F.lit(FLOAT))
-        .when(wrap.isin("$numberLong", "$numberInt"), F.lit(INT))
-        .when(wrap == "$date", F.lit(DATE))
-        .otherwise(F.lit(UNKNOWN))
+    millis = F.coalesce(
+        F.try_variant_get(core, '$["$numberLong"]', "bigint"), F.try_variant_get(core, "$", "bigint")
     )
+    return F.coalesce(stamp, utc_text(F.timestamp_millis(millis)))
+
+
+def variant_kinds(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``<c>_kind`` (VARIANT tag or wrapper key), ``<c>_core`` (the value, unwrapped)
+    and ``<c>_type`` for every named VARIANT column, replacing the column itself.
+
+    Each fact is computed once, in a projection of its own, so later expressions stay
+    small enough to be compiled.
+    """
+    first = {f"{c}_fields": as_object(F.col(c)) for c in columns}
+    first |= {f"{c}_tag": F.schema_of_variant(c) for c in columns}
+    second = {f"{c}_wrap": wrapper_key(F.col(f"{c}_fields")) for c in columns}
+    third, fourth = {}, {}
+    known = F.create_map(*[F.lit(x) for pair in KIND_TYPES.items() for x in pair])
+    for c in columns:
+        wrap = F.col(f"{c}_wrap")
+        third[f"{c}_kind"] = F.coalesce(wrap, F.substring_index(f"{c}_tag", "(", 1))
+        third[f"{c}_core"] = F.when(wrap.isNull(), F.col(c)).otherwise(F.try_element_at(f"{c}_fields", wrap))
+        fourth[f"{c}_type"] = F.when(
+            F.col(f"{c}_kind") != "VOID", F.coalesce(F.try_element_at(known, F.col(f"{c}_kind")), F.lit(UNKNOWN))
+        )
+    spent = [x for c in columns for x in (c, f"{c}_fields", f"{c}_tag", f"{c}_wrap")]
+    return df.withColumns(first).withColumns(second).withColumns(third).drop(*spent).withColumns(fourth)
+
+
+def variant_cell(name: str) -> Cell:
+    """Cell of a VARIANT column after ``variant_kinds``; a broken wrapper holds its missing value."""
+    vtype, kind, core = F.col(f"{name}_type"), F.col(f"{name}_kind"), F.col(f"{name}_core")
+    as_double = F.try_variant_get(core, "$", "double")
+    string = F.try_variant_get(core, "$", "string")
     text = (
-        F.when(tag == "STRING", F.try_variant_get(value, "$", "string"))
-        .when(tag == "BIGINT", F.try_variant_get(value, "$", "string"))
-        .when(is_float, F.try_variant_get(value, "$", "double").cast("string"))
-        .when(tag == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int").cast("string"))
-        .when(tag == "TIMESTAMP", utc_text(F.try_variant_get(value, "$", "timestamp")))
-        .when(is_date, F.try_variant_get(value, "$", "timestamp_ntz").cast("string"))
-        .when(wrap.isNotNull(), _wrapped_text(wrap, fields[wrap]))
-    )
-    number = (
-        F.when(tag.isin("BIGINT") | is_float, finite_or_inf(F.try_variant_get(value, "$", "double")))
-        .when((tag == "BOOLEAN") | wrap.isin("$numberDouble", "$numberLong", "$numberInt"), text_to_double(text))
+        F.when(vtype == STRING, string)
+        .when(vtype == INT, F.coalesce(F.try_variant_get(core, "$", "bigint").cast("string"), F.lit(MISSING_TEXT[INT])))
+        .when(vtype == FLOAT, F.coalesce(as_double.cast("string"), F.lit(MISSING_TEXT[FLOAT])))
+        .when(vtype == DATE, F.coalesce(variant_date_text(kind, core), F.lit(MISSING_TEXT[DATE])))
     )
-    return Cell(vtype, number, text)
+    number = F.when(vtype.isin(INT, FLOAT), finite_or_inf(F.coalesce(as_double, F.lit(0.0))))
+    return Cell(vtype, number, text, string)
 
 
 def typed_cell(value: Column, dtype: T.DataType) -> Cell | None:
@@ -130,4 +133,4 @@ def typed_cell(value: Column, dtype: T.DataType) -> Cell | None:
         name, number, text = DATE, none_double, value.cast("timestamp_ntz").cast("string")
     else:
         return None
-    return Cell(F.when(value.isNotNull(), F.lit(name)), number, text)
+    return Cell(F.when(value.isNotNull(), F.lit(name)), number, text, text)

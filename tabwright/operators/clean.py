@@ -16,6 +16,7 @@ from tabwright.functions.numbers import is_int_text, text_to_double, whole_part
 from tabwright.functions.paths import col
 from tabwright.functions.values import (
     CATEGORICAL, DATE, FLOAT, INT, NUMERICAL, STRING, UNKNOWN, Cell, iso_text_to_date_text, typed_cell, variant_cell,
+    variant_kinds,
 )
 from tabwright.operators.observe import Layout, Leaf
 
@@ -24,6 +25,7 @@ BAD_TARGET = "bad_target"
 UNSUPPORTED_TYPE = "unsupported_type"
 TOO_MANY_DEFAULTS = "too_many_defaults"
 UNREADABLE = "unreadable"
+ROW, REASON = "_values", "_reason"
 
 
 @dataclass(frozen=True)
@@ -61,20 +63,18 @@ def selected_attributes(plan: DataFrame, encoders: DataFrame | None = None) -> l
 
 def _as_number(cell: Cell, wanted: str) -> Column:
     """number of the wanted kind or NULL when the value cannot be one."""
+    native = whole_part(cell.number) if wanted == INT else cell.number
+    parsed = text_to_double(cell.string)
     if wanted == INT:
-        return (
-            F.when(cell.vtype == INT, cell.number)
-            .when(cell.vtype == FLOAT, whole_part(cell.number))
-            .when(cell.vtype == STRING, F.when(is_int_text(cell.text), text_to_double(cell.text)))
-        )
-    return F.when(cell.vtype.isin(INT, FLOAT), cell.number).when(cell.vtype == STRING, text_to_double(cell.text))
+        parsed = F.when(is_int_text(cell.string), parsed)
+    return F.when(cell.vtype == STRING, parsed).otherwise(native)
 
 
 def _as_text(cell: Cell, wanted: str) -> Column:
     """text of the value; dates must read as one."""
     if wanted == DATE:
-        return F.when(cell.vtype == DATE, cell.text).when(cell.vtype == STRING, iso_text_to_date_text(cell.text))
-    return F.when(cell.vtype.isNotNull() & (cell.vtype != UNKNOWN), cell.text)
+        return F.when(cell.vtype == DATE, cell.text).when(cell.vtype == STRING, iso_text_to_date_text(cell.string))
+    return cell.text
 
 
 def _typed_shortcut(leaf: Leaf, attr: Attribute) -> Column | None:
@@ -99,7 +99,7 @@ def clean_columns(
     unsupported: str = "missing",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """every selected attribute plus the row's verdict in ``_reason`` (NULL = keep).
+    """``_values`` holds every selected attribute, ``_reason`` the verdict (NULL = keep).
 
     ``unsupported="reject"`` drops rows holding an array or object where a scalar is
     expected (P8); the default treats such values as absent, as flattening does.
@@ -112,60 +112,66 @@ def clean_columns(
     sources = {a.path: layout.source(a.path, a.min_keys, a.max_keys) for a in attributes}
     fetched = {f"_v{i}": sources[a.path] for i, a in enumerate(attributes) if isinstance(sources[a.path], Column)}
     if fetched:
-        df = df.withColumns(fetched)
+        df = variant_kinds(df.withColumns(fetched), list(fetched))
 
-    values, used, missing_target, bad_target, unknown = [], [], F.lit(False), F.lit(False), F.lit(False)
+    values, absent = [], F.lit(False)
+    unknown = F.lit(False)
     for i, attr in enumerate(attributes):
         source = sources[attr.path]
         shortcut = _typed_shortcut(source, attr) if isinstance(source, Leaf) else None
+        cell = None
         if shortcut is not None:
-            value, absent = shortcut, source.column.isNull()
+            value, missing = shortcut, source.column.isNull()
         else:
-            if source is None:
-                cell = None
-            elif isinstance(source, Leaf):
+            if isinstance(source, Leaf):
                 cell = typed_cell(source.column, source.dtype)
-            else:
-                cell = variant_cell(F.col(f"_v{i}"))
+            elif source is not None:
+                cell = variant_cell(f"_v{i}")
             if cell is None:
-                value = F.lit(None).cast("double" if attr.sense == NUMERICAL else "string")
-                absent = F.lit(True)
+                value, missing = F.lit(None), F.lit(True)
             else:
-                absent = cell.vtype.isNull() | (cell.vtype == UNKNOWN)
-                unknown = unknown | F.coalesce(cell.vtype == UNKNOWN, F.lit(False))
                 value = _as_number(cell, attr.type) if attr.sense == NUMERICAL else _as_text(cell, attr.type)
+                missing = cell.vtype.isNull() | (cell.vtype == UNKNOWN)
+                unknown = unknown | F.coalesce(cell.vtype == UNKNOWN, F.lit(False))
+        values.append(value.cast("double" if attr.sense == NUMERICAL else "string").alias(f"_r{i}"))
+        if attr.is_target:
+            absent = missing
+
+    read = df.select(*kept, *values, absent.alias("_absent"), unknown.alias("_unknown"))
+    # From here on every value is a plain column: NULL means the default steps in.
+    used, row, target_value = F.lit(0), [], None
+    for i, attr in enumerate(attributes):
         default = F.lit(attr.default_number).cast("double") if attr.sense == NUMERICAL else F.lit(attr.default_text)
-        values.append(F.coalesce(value, default).alias(attr.path))
+        row.append(F.coalesce(f"_r{i}", default).alias(attr.path))
+        used = used + F.col(f"_r{i}").isNull().cast("int")
         if attr.is_target:
-            missing_target = absent
-            bad_target = value.isNull()
-        used.append(value.isNull().cast("int"))
-
-    budget = 1 + len(attributes) // 10
-    used_total = used[0]
-    for flag in used[1:]:
-        used_total = used_total + flag
-    verdicts = [(missing_target, MISSING_TARGET)]
-    if strict_target:
-        verdicts.append((bad_target, BAD_TARGET))
+            target_value = F.col(f"_r{i}")
+    read = read.select(*[c for c in read.columns], used.alias("_defaults_used"))
+    reason = F.when(F.col("_absent"), F.lit(MISSING_TARGET))
+    if strict_target and target_value is not None:
+        reason = reason.when(target_value.isNull(), F.lit(BAD_TARGET))
     if unsupported == "reject":
-        verdicts.append((unknown, UNSUPPORTED_TYPE))
-    row = df.select(*kept, *values, used_total.alias("_defaults_used"), *[c.alias(f"_is_{n}") for c, n in verdicts])
-    reason = F.when(F.lit(False), F.lit(None).cast("string"))
-    for _, name in verdicts:
-        reason = reason.when(F.col(f"_is_{name}"), F.lit(name))
-    reason = reason.when(F.col("_defaults_used") > budget, F.lit(TOO_MANY_DEFAULTS))
-    return row.withColumn("_reason", reason).drop(*[f"_is_{n}" for _, n in verdicts])
+        reason = reason.when(F.col("_unknown"), F.lit(UNSUPPORTED_TYPE))
+    reason = reason.when(F.col("_defaults_used") > 1 + len(attributes) // 10, F.lit(TOO_MANY_DEFAULTS))
+    names = [*(["pos"] if pos else []), *keep]
+    return read.select(*[col(n) for n in names], F.struct(*row).alias(ROW), "_defaults_used", reason.alias(REASON))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    """Rows that passed, without the bookkeeping."""
-    return checked.where(F.col("_reason").isNull()).drop("_reason", "_defaults_used")
+    """Rows that passed, without the bookkeeping.
+
+    The verdict decides inside a generator, so it is computed once: a filter would be
+    moved below the projection and every value computed twice.
+    """
+    names = [col(c) for c in checked.columns if c not in (ROW, REASON, "_defaults_used")]
+    return checked.select(*names, F.inline(F.when(F.col(REASON).isNull(), F.array(ROW))))
 
 
 def quarantined(checked: DataFrame) -> DataFrame:
     """Rows set aside, with the reason and the number of defaults they would have needed."""
-    return checked.where(F.col("_reason").isNotNull())
+    names = [col(c) for c in checked.columns if c not in (ROW, REASON, "_defaults_used")]
+    aside = F.struct(f"{ROW}.*", "_defaults_used", REASON)
+    return checked.select(*names, F.inline(F.when(F.col(REASON).isNotNull(), F.array(aside))))
 
 
 def feature_names(attributes: list[Attribute]) -> list[str]:

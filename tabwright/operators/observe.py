@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.paths import SEPARATOR, SKIPPED_KEY, col, join_path, key_lists, quoted, variant_at
-from tabwright.functions.values import UNKNOWN, Cell, as_object, typed_cell, variant_cell, wrapper_key
+from tabwright.functions.values import UNKNOWN, Cell, as_object, typed_cell, variant_cell, variant_kinds, wrapper_key
 
 DOCUMENT = "doc"
-MAX_DEPTH = 12
+MAX_DEPTH = 6
 
 
 @dataclass(frozen=True)
@@ -87,67 +87,60 @@ class Layout:
             return None
         return F.coalesce(*places) if len(places) > 1 else places[0]
 
-    def cell(self, path: str) -> Cell | None:
-        source = self.source(path)
-        if source is None:
-            return None
-        return typed_cell(source.column, source.dtype) if isinstance(source, Leaf) else variant_cell(source)
-
 
-def _entry(path: Column, n_keys: Column, cell: Cell) -> Column:
-    return F.struct(
-        path.alias("path"), n_keys.cast("int").alias("n_keys"), cell.vtype.alias("vtype"), cell.text.alias("text")
+def _is_open(fields: Column) -> Column:
+    """An ordinary object: its keys are attributes of their own."""
+    return fields.isNotNull() & wrapper_key(fields).isNull()
+
+
+def _open_level(nodes: DataFrame) -> DataFrame:
+    """Replace every open object by its children; other values pass through."""
+    spark = nodes.sparkSession
+    marked = nodes.select("*", F.coalesce(_is_open(as_object(F.col("value"))), F.lit(False)).alias("open"))
+    is_open = F.col("open")
+    members = spark.tvf.variant_explode_outer(F.when(is_open, F.col("value")).outer()).toDF("_at", "_key", "_child")
+    # An open object without members yields one row without a key, which goes away here.
+    kept = marked.lateralJoin(members).where(~is_open | (F.col("_key") != SKIPPED_KEY))
+    return kept.select(
+        "pos",
+        F.when(is_open, join_path(F.col("path"), F.col("_key"))).otherwise(F.col("path")).alias("path"),
+        (F.col("n_keys") + is_open.cast("int")).alias("n_keys"),
+        F.when(is_open, F.col("_child")).otherwise(F.col("value")).alias("value"),
     )
 
 
-def _flatten_variant(prefix: tuple[str, ...], root: Column, max_depth: int) -> Column:
-    """Entries of one VARIANT: open every ordinary object level by level inside the row."""
-    node = F.struct(
-        F.lit(SEPARATOR.join(prefix)).alias("path"),
-        F.lit(len(prefix)).alias("n_keys"),
-        root.alias("value"),
-        as_object(root).alias("fields"),
-    )
-    nodes = F.array(node)
-
-    def is_open(n: Column) -> Column:
-        return n["fields"].isNotNull() & wrapper_key(n["fields"]).isNull()
-
-    def children(n: Column) -> Column:
-        kept = F.filter(F.map_entries(n["fields"]), lambda kv: kv["key"] != SKIPPED_KEY)
-        return F.transform(
-            kept,
-            lambda kv: F.struct(
-                join_path(n["path"], kv["key"]).alias("path"),
-                (n["n_keys"] + 1).alias("n_keys"),
-                kv["value"].alias("value"),
-                as_object(kv["value"]).alias("fields"),
-            ),
-        )
-
+def _variant_observations(df: DataFrame, position: Column, layout: Layout, max_depth: int) -> DataFrame:
+    roots = [
+        F.struct(F.lit(SEPARATOR.join(prefix)).alias("path"), F.lit(len(prefix)).alias("n_keys"), root.alias("value"))
+        for prefix, root in layout.variants
+    ]
+    nodes = df.select(position.alias("pos"), F.inline(F.array(*roots)) if len(roots) > 1 else roots[0].alias("_root"))
+    if len(roots) == 1:
+        nodes = nodes.select("pos", "_root.*")
     for _ in range(max_depth):
-        nodes = F.flatten(F.transform(nodes, lambda n: F.when(is_open(n), children(n)).otherwise(F.array(n))))
+        nodes = _open_level(nodes)
+    facts = variant_kinds(nodes, ["value"])
     too_deep = F.raise_error(F.lit(f"document nested deeper than max_depth={max_depth}")).cast("string")
+    path = F.when(F.col("value_kind").startswith("OBJECT<"), too_deep).otherwise(F.col("path"))
+    cell = variant_cell("value")
+    entry = F.struct(path.alias("path"), "n_keys", cell.vtype.alias("vtype"), cell.text.alias("text"))
+    # Going through a generator keeps the type test behind the projection that computes it.
+    return facts.select("pos", F.inline(F.when(cell.vtype.isNotNull(), F.array(entry))))
 
-    def leaf(n: Column) -> Column:
-        cell = variant_cell(n["value"], n["fields"])
-        return _entry(F.when(is_open(n), too_deep).otherwise(n["path"]), n["n_keys"], cell)
-
-    return F.transform(nodes, leaf)
 
-
-def entries(df: DataFrame, skip: tuple[str, ...] = (), max_depth: int = MAX_DEPTH) -> Column:
-    """All (path, n_keys, vtype, text) entries of a row as one array."""
-    layout = Layout(df.schema, skip)
+def _typed_observations(df: DataFrame, position: Column, layout: Layout) -> DataFrame:
     fixed = []
     for leaf in layout.leaves:
         cell = typed_cell(leaf.column, leaf.dtype)
         if cell is None:
-            cell = Cell(F.when(leaf.column.isNotNull(), F.lit(UNKNOWN)), F.lit(None), F.lit(None).cast("string"))
-        fixed.append(_entry(F.lit(leaf.path), F.lit(len(leaf.keys)), cell))
-    parts = [F.array(*fixed)] if fixed else []
-    parts += [_flatten_variant(prefix, column, max_depth) for prefix, column in layout.variants]
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+            cell = Cell(F.when(leaf.column.isNotNull(), F.lit(UNKNOWN)), F.lit(None), F.lit(None).cast("string"), F.lit(None))
+        fixed.append(
+            F.struct(
+                F.lit(leaf.path).alias("path"), F.lit(len(leaf.keys)).alias("n_keys"),
+                cell.vtype.alias("vtype"), cell.text.alias("text"),
+            )
+        )
+    return df.select(position.alias("pos"), F.inline(F.array(*fixed))).where(F.col("vtype").isNotNull())
 
 
 def observations(
@@ -160,12 +153,17 @@ def observations(
     """One row per document and attribute, unsupported values dropped.
 
     ``pos`` is a numeric document order (it settles ties); it is not an attribute unless
-    the caller wants it profiled too, then pass a copy under another name.
+    the caller wants it profiled too, then pass a copy under another name.  A table with
+    both typed and VARIANT columns is read once per kind, each time only its columns.
     """
-    skipped = (*skip, pos) if pos else skip
+    layout = Layout(df.schema, (*skip, pos) if pos else skip)
     position = col(pos).cast("bigint") if pos else F.lit(None).cast("bigint")
-    rows = df.select(position.alias("pos"), F.inline(entries(df, skipped, max_depth)))
-    rows = rows.where(F.col("vtype").isNotNull())
+    parts = []
+    if layout.leaves:
+        parts.append(_typed_observations(df, position, layout))
+    if layout.variants:
+        parts.append(_variant_observations(df, position, layout, max_depth))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return rows if keep_unknown else rows.where(F.col("vtype") != UNKNOWN)
 
 

@@ -11,13 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabwright.functions.paths import col
-from tabwright.operators.clean import UNREADABLE, clean_columns, target_attribute
+from tabwright.operators.clean import REASON, UNREADABLE, accepted, clean_columns, quarantined, target_attribute
 from tabwright.operators.encode import DEFAULT, decode, encode_rows
 from tabwright.operators.features import ROW, feature_row
 from tabwright.operators.search import Ensemble
 
-REASON = "_reason"
-
 
 def checked_rows(df: DataFrame, ensemble: Ensemble, pos: str | None = "pos") -> DataFrame:
     """Rows fitted to the plan without its target, with the reason where that failed.
@@ -37,7 +35,7 @@ def score_checked(checked: DataFrame, ensemble: Ensemble, unseen: str = DEFAULT)
     """Attributes as fitted to the plan plus the predicted target."""
     target = target_attribute(ensemble.attributes)
     features = [a for a in ensemble.attributes if not a.is_target]
-    good = checked.where(F.col(REASON).isNull()).drop(REASON, "_defaults_used")
+    good = accepted(checked)
     kept = [c for c in good.columns if c not in {a.path for a in features}]
     # Codes feed the model, the texts stay in the result.
     texts = F.struct(*[col(a.path) for a in features]).alias("_row")
@@ -55,7 +53,7 @@ def score(df: DataFrame, ensemble: Ensemble, pos: str | None = "pos", unseen: st
 
 
 def score_rejects(df: DataFrame, ensemble: Ensemble, pos: str | None = "pos") -> DataFrame:
-    return checked_rows(df, ensemble, pos).where(F.col(REASON).isNotNull())
+    return quarantined(checked_rows(df, ensemble, pos))
 
 
 def score_stream(
@@ -75,9 +73,10 @@ def score_stream(
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        checked = checked_rows(batch, ensemble, pos)
+        checked = checked_rows(batch, ensemble, pos).persist()
         score_checked(checked, ensemble, unseen).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
-        checked.where(F.col(REASON).isNotNull()).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        quarantined(checked).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+        checked.unpersist()
 
     return (
         source.writeStream.foreachBatch(sink)
