@@ -116,21 +116,32 @@ def variant_cell(name: str) -> Cell:
     return Cell(vtype, number, text, string)
 
 
+def column_type(dtype: T.DataType) -> str | None:
+    """Type name of a typed column; None when it can never be an attribute."""
+    if isinstance(dtype, (T.BooleanType, T.IntegralType)):
+        return INT
+    if isinstance(dtype, T.FractionalType):
+        return FLOAT
+    if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
+        return STRING
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return DATE
+    return None
+
+
 def typed_cell(value: Column, dtype: T.DataType) -> Cell | None:
-    """Cell of a typed column; None when the type can never be an attribute."""
-    none_double = F.lit(None).cast("double")
-    if isinstance(dtype, T.BooleanType):
-        value, dtype = value.cast("int"), T.IntegerType()
-    if isinstance(dtype, T.IntegralType):
-        name, number, text = INT, value.cast("double"), value.cast("string")
-    elif isinstance(dtype, (T.FractionalType, T.DecimalType)):
-        name, number, text = FLOAT, finite_or_inf(value.cast("double")), value.cast("double").cast("string")
-    elif isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
-        name, number, text = STRING, none_double, value
-    elif isinstance(dtype, T.TimestampType):
-        name, number, text = DATE, none_double, utc_text(value)
-    elif isinstance(dtype, (T.DateType, T.TimestampNTZType)):
-        name, number, text = DATE, none_double, value.cast("timestamp_ntz").cast("string")
-    else:
+    """Cell of a typed column; its type is known, so only NULL remains to be asked."""
+    name = column_type(dtype)
+    if name is None:
         return None
+    number, text = F.lit(None).cast("double"), value
+    if name == INT:
+        whole = value.cast("int") if isinstance(dtype, T.BooleanType) else value
+        number, text = whole.cast("double"), whole.cast("string")
+    elif name == FLOAT:
+        number, text = finite_or_inf(value.cast("double")), value.cast("double").cast("string")
+    elif isinstance(dtype, T.TimestampType):
+        text = utc_text(value)
+    elif name == DATE:
+        text = value.cast("timestamp_ntz").cast("string")
     return Cell(F.when(value.isNotNull(), F.lit(name)), number, text, text)

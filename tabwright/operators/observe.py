@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.paths import SEPARATOR, SKIPPED_KEY, col, join_path, key_lists, quoted, variant_at
-from tabwright.functions.values import UNKNOWN, Cell, as_object, typed_cell, variant_cell, variant_kinds, wrapper_key
+from tabwright.functions.values import UNKNOWN, Cell, as_object, column_type, typed_cell, variant_cell, variant_kinds, wrapper_key
 
 DOCUMENT = "doc"
 MAX_DEPTH = 6
@@ -87,6 +87,13 @@ class Layout:
             return None
         return F.coalesce(*places) if len(places) > 1 else places[0]
 
+    def fixed_types(self) -> dict[str, tuple[str, int]] | None:
+        """(type, number of keys) per path, or None when values decide their own type."""
+        if self.variants or len({leaf.path for leaf in self.leaves}) < len(self.leaves):
+            return None
+        kinds = {leaf.path: (column_type(leaf.dtype), len(leaf.keys)) for leaf in self.leaves}
+        return {path: kind for path, kind in kinds.items() if kind[0]}
+
 
 def _is_open(fields: Column) -> Column:
     """An ordinary object: its keys are attributes of their own."""

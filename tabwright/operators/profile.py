@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.functions.numbers import is_int_text, text_to_double
+from tabwright.functions.numbers import finite_or_inf, is_int_text, text_to_double
 from tabwright.functions.values import LEARNING_TYPES, STRING
+from tabwright.operators.observe import MAX_DEPTH, Layout, observations
 from tabwright.operators.ranking import bucket_count, value_buckets
 
 # Below this many documents a path cannot have more distinct values than an in-memory
@@ -19,19 +20,57 @@ from tabwright.operators.ranking import bucket_count, value_buckets
 MEDIAN_MAP_LIMIT = 1_000_000
 
 
-def value_freq(obs: DataFrame) -> DataFrame:
-    """A4: how often each text occurs per path, split by type, with first/last position."""
-    counts = [F.count_if(F.col("vtype") == t).alias(f"n_{t}") for t in LEARNING_TYPES]
-    firsts = [F.min(F.when(F.col("vtype") == t, F.col("pos"))).alias(f"first_{t}") for t in LEARNING_TYPES]
+def value_freq(obs: DataFrame, fixed: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+    """A4: how often each text occurs per path, split by type, with first/last position.
+
+    ``fixed`` names the (type, number of keys) of every path when no path can change type,
+    as in typed tables; the shuffled rows then carry three numbers instead of twelve.
+    """
+    if fixed is not None:
+        freq = _fixed_type_freq(obs, fixed)
+    else:
+        counts = [F.count_if(F.col("vtype") == t).alias(f"n_{t}") for t in LEARNING_TYPES]
+        firsts = [F.min(F.when(F.col("vtype") == t, F.col("pos"))).alias(f"first_{t}") for t in LEARNING_TYPES]
+        freq = obs.groupBy("path", "text").agg(
+            F.count("*").alias("n"),
+            *counts,
+            *firsts,
+            F.max("pos").alias("last_pos"),
+            F.min("n_keys").alias("min_keys"),
+            F.max("n_keys").alias("max_keys"),
+        )
+    # Texts of native numbers need no pattern: their form is known.
+    text, native = F.col("text"), F.col("n_int") + F.col("n_float") > 0
+    return freq.withColumns(
+        {
+            "int_text": F.when(native, F.col("n_int") > 0).otherwise(is_int_text(text)),
+            "number": F.when(native, finite_or_inf(text.try_cast("double"))).otherwise(text_to_double(text)),
+        }
+    )
+
+
+def _fixed_type_freq(obs: DataFrame, fixed: dict[str, tuple[str, int]]) -> DataFrame:
     freq = obs.groupBy("path", "text").agg(
-        F.count("*").alias("n"),
-        *counts,
-        *firsts,
-        F.max("pos").alias("last_pos"),
-        F.min("n_keys").alias("min_keys"),
-        F.max("n_keys").alias("max_keys"),
+        F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos")
     )
-    return freq.withColumns({"int_text": is_int_text(F.col("text")), "number": text_to_double(F.col("text"))})
+
+    def by_path(values: dict[str, object]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("path")]
+
+    vtype = by_path({p: t for p, (t, _) in fixed.items()})
+    n_keys = by_path({p: k for p, (_, k) in fixed.items()}).cast("int")
+    return freq.withColumn("vtype", vtype).select(
+        "path", "text", "n",
+        *[F.when(F.col("vtype") == t, F.col("n")).otherwise(F.lit(0)).alias(f"n_{t}") for t in LEARNING_TYPES],
+        *[F.when(F.col("vtype") == t, F.col("first_pos")).alias(f"first_{t}") for t in LEARNING_TYPES],
+        "last_pos", n_keys.alias("min_keys"), n_keys.alias("max_keys"),
+    )
+
+
+def freq_of(df: DataFrame, pos: str | None, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """Observations and value frequencies of a table in one pass."""
+    layout = Layout(df.schema, (pos,) if pos else ())
+    return value_freq(observations(df, pos, max_depth=max_depth), layout.fixed_types())
 
 
 def _int_number() -> Column:

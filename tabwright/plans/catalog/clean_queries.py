@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from tabwright.config import EstimatorSpec
 from tabwright.functions.paths import col
-from tabwright.operators.clean import accepted, clean_columns, quarantined, selected_attributes, target_attribute
+from tabwright.operators.clean import accepted, clean_columns, quarantined, target_attribute
 from tabwright.operators.encode import KEEP, decode, encode_rows
-from tabwright.operators.observe import observations, with_target
-from tabwright.operators.profile import medians, profile, value_freq
-from tabwright.operators.rules import attribute_plan, label_encoders
+from tabwright.operators.observe import observations
 from tabwright.plans.catalog.common import mixed_orders, rounded, sql_round, table
+from tabwright.plans.planning import planned
 from tabwright.plans.report import default_row, sample_request
 from tabwright.plans.stages import clean_stage, profile_stage
 from tabwright.sources.delimited import TableFormat, read_delimited
@@ -23,14 +22,6 @@ from tabwright.sources.scratch import scratch_dir
 from tabwright.sources.store import DEFAULTS, ENCODERS, SENSES, TYPES, ArtifactStore
 
 
-def _attributes(df: DataFrame, spec: EstimatorSpec, with_labels: bool = False):
-    kept = with_target(df, spec.target)
-    n_docs = kept.count()
-    freq = value_freq(observations(kept, spec.pos))
-    plan = attribute_plan(profile(freq), medians(freq, n_docs), n_docs, spec)
-    return selected_attributes(plan, label_encoders(freq, plan) if with_labels else None)
-
-
 def _patchy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with zero discounts and taxes, late lines and big lines' status missing."""
     return table(spark, sf_dir, "lineitem").select(
@@ -52,13 +43,13 @@ _NUMBERS = [
 def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items fitted to their plan."""
     lines = _patchy_lines(spark, sf_dir)
-    return accepted(clean_columns(lines, _attributes(lines, _LINES_SPEC), None))
+    return accepted(clean_columns(lines, planned(lines, _LINES_SPEC).attributes(), None))
 
 
 def clean_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many line items are set aside, by reason and defaults needed."""
     lines = _patchy_lines(spark, sf_dir)
-    aside = quarantined(clean_columns(lines, _attributes(lines, _LINES_SPEC), None))
+    aside = quarantined(clean_columns(lines, planned(lines, _LINES_SPEC).attributes(), None))
     return aside.groupBy(F.col("_reason").alias("reason"), F.col("_defaults_used").alias("defaults_used")).agg(
         F.count("*").alias("n_rows")
     )
@@ -93,7 +84,7 @@ def _mixed_spec() -> EstimatorSpec:
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F6-F9 on VARIANT: texts turn into numbers, wrapped values are opened."""
     docs = mixed_orders(spark, sf_dir)
-    rows = accepted(clean_columns(docs, _attributes(docs, _mixed_spec()), "pos"))
+    rows = accepted(clean_columns(docs, planned(docs, _mixed_spec()).attributes(), "pos"))
     return rows.select("pos", "amount", "flag", "ident", "priority")
 
 
@@ -106,7 +97,7 @@ _FLAGGED_SPEC = EstimatorSpec("flagged", "o_orderpriority", pos="o_orderkey")
 
 def _cleaned_flagged(spark: SparkSession, sf_dir: str):
     orders = _flagged_orders(spark, sf_dir)
-    attributes = _attributes(orders, _FLAGGED_SPEC, with_labels=True)
+    attributes = planned(orders, _FLAGGED_SPEC).attributes()
     return accepted(clean_columns(orders, attributes, "o_orderkey")), attributes
 
 
@@ -119,7 +110,7 @@ def encode_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes learned without the urgent orders; urgent ones get the extra code."""
     orders = _flagged_orders(spark, sf_dir)
-    attributes = _attributes(orders.where("o_orderpriority <> '1-URGENT'"), _FLAGGED_SPEC, with_labels=True)
+    attributes = planned(orders.where("o_orderpriority <> '1-URGENT'"), _FLAGGED_SPEC).attributes()
     checked = accepted(clean_columns(orders, attributes, "o_orderkey"))
     return encode_rows(checked, attributes, KEEP).select(F.col("pos").alias("o_orderkey"), "o_orderpriority")
 
@@ -135,7 +126,7 @@ def decode_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def default_request(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sample request: every default but the target's, as JSON text."""
     orders = _flagged_orders(spark, sf_dir)
-    return sample_request(default_row(spark, _attributes(orders, _FLAGGED_SPEC)))
+    return sample_request(default_row(spark, planned(orders, _FLAGGED_SPEC).attributes()))
 
 
 def _store(spark: SparkSession, spec: EstimatorSpec) -> ArtifactStore:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tabwright.config import EstimatorSpec, SchemaOptions
 from tabwright.operators.observe import observations, with_target
-from tabwright.operators.profile import medians, profile, value_freq
-from tabwright.operators.rules import attribute_plan, label_encoders, rejected, selected
+from tabwright.operators.profile import freq_of, medians, profile
+from tabwright.operators.rules import rejected, selected
 from tabwright.plans.catalog.common import (
     MIXED_ORDERS_SQL, mixed_orders, rounded, sql_obs, sql_plan, sql_profile, sql_round, table,
 )
+from tabwright.plans.planning import planned
 from tabwright.sources.documents import extended_json, parse_documents
 
 
@@ -65,18 +66,18 @@ def target_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def type_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2, A3: presence and type mix of attributes that change type between documents."""
-    profiled = profile(value_freq(observations(mixed_orders(spark, sf_dir), "pos")))
+    profiled = profile(freq_of(mixed_orders(spark, sf_dir), "pos"))
     return profiled.select("path", "present", "n_int", "n_float", "n_string", "n_date", "int_strings", "float_strings")
 
 
 def value_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value of every line item attribute with its count."""
-    return value_freq(observations(table(spark, sf_dir, "lineitem"), None)).select("path", "text", "n")
+    return freq_of(table(spark, sf_dir, "lineitem"), None).select("path", "text", "n")
 
 
 def attr_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: most frequent value, ties to the one that got there first."""
-    return profile(value_freq(observations(table(spark, sf_dir, "orders"), "o_orderkey"))).select("path", "mode")
+    return profile(freq_of(table(spark, sf_dir, "orders"), "o_orderkey")).select("path", "mode")
 
 
 def _texty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,14 +108,13 @@ _TEXTY_OBS = sql_obs(
 
 def numeric_string_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that read as whole or fractional numbers."""
-    obs = observations(_texty_customers(spark, sf_dir), "c_custkey")
-    return profile(value_freq(obs)).select("path", "int_strings", "float_strings")
+    return profile(freq_of(_texty_customers(spark, sf_dir), "c_custkey")).select("path", "int_strings", "float_strings")
 
 
 def attr_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile summary of customers, segment as target."""
     kept = with_target(table(spark, sf_dir, "customer"), "c_mktsegment")
-    return profile(value_freq(observations(kept, "c_custkey"))).select(
+    return profile(freq_of(kept, "c_custkey")).select(
         "path", "present", "unique_count", "mode", "int_strings", "float_strings"
     )
 
@@ -156,19 +156,12 @@ _N_PARTS = "SELECT count(*) FROM part"
 def median_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact medians and means of numbers and numeric texts."""
     parts = _sized_parts(spark, sf_dir)
-    freq = value_freq(observations(parts, "p_partkey"))
+    freq = freq_of(parts, "p_partkey")
     means = profile(freq).select("path", "mean_int", "mean_float")
     both = medians(freq, parts.count()).join(means, "path")
     return both.select("path", *[rounded(c, c) for c in ("median_int", "mean_int", "median_float", "mean_float")])
 
 
-def _plan_of(df: DataFrame, spec: EstimatorSpec) -> tuple[DataFrame, DataFrame]:
-    kept = with_target(df, spec.target)
-    n_docs = kept.count()
-    freq = value_freq(observations(kept, spec.pos))
-    return freq, attribute_plan(profile(freq), medians(freq, n_docs), n_docs, spec)
-
-
 _PARTS_SPEC = EstimatorSpec("parts", "p_type", pos="p_partkey")
 _ORDERS_SPEC = EstimatorSpec("orders", "priority")
 
@@ -182,18 +175,18 @@ _DECISIONS_SQL = "SELECT path, selected, type, sense, reason, present, unique_co
 
 def type_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions for documents with mixed types."""
-    return _decisions(_plan_of(mixed_orders(spark, sf_dir), _ORDERS_SPEC)[1])
+    return _decisions(planned(mixed_orders(spark, sf_dir), _ORDERS_SPEC).plan)
 
 
 def type_plan_promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numeric texts win ties when asked to."""
     spec = EstimatorSpec("parts", "p_type", pos="p_partkey", schema=SchemaOptions(string_numbers="promote"))
-    return _decisions(_plan_of(_sized_parts(spark, sf_dir), spec)[1])
+    return _decisions(planned(_sized_parts(spark, sf_dir), spec).plan)
 
 
 def type_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected attributes with reason and non-zero type counts, one row per type."""
-    plan = _plan_of(_sized_parts(spark, sf_dir), _PARTS_SPEC)[1]
+    plan = planned(_sized_parts(spark, sf_dir), _PARTS_SPEC).plan
     return rejected(plan).select(
         "path", "present", "unique_count", "reason", F.explode("extended_counts").alias("type", "type_count")
     )
@@ -205,19 +198,18 @@ def _number(column: str) -> Column:
 
 def default_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Default of every selected attribute."""
-    plan = _plan_of(_sized_parts(spark, sf_dir), _PARTS_SPEC)[1]
+    plan = planned(_sized_parts(spark, sf_dir), _PARTS_SPEC).plan
     return plan.where("selected").select("path", "type", "sense", _number("default_number"), "default_text")
 
 
 def selected_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept attributes without the target."""
-    return selected(_plan_of(_sized_parts(spark, sf_dir), _PARTS_SPEC)[1])
+    return selected(planned(_sized_parts(spark, sf_dir), _PARTS_SPEC).plan)
 
 
 def label_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of every categorical attribute in text order."""
-    freq, plan = _plan_of(_sized_parts(spark, sf_dir), _PARTS_SPEC)
-    return label_encoders(freq, plan)
+    return planned(_sized_parts(spark, sf_dir), _PARTS_SPEC).encoders
 
 
 QUERIES = {
