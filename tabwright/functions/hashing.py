@@ -13,8 +13,11 @@ HASH_RANGE = 16**15
 
 
 def hash_number(*parts: Column | str | int) -> Column:
-    """md5 of the parts joined by ':' as a whole number in [0, 16^15)."""
-    texts = [(p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts]
+    """md5 of the parts joined by ':' as a whole number in [0, 16^15).
+
+    A str names a column, an int is a constant.
+    """
+    texts = [(F.col(p) if isinstance(p, str) else p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts]
     digest = F.md5(F.concat_ws(":", *texts).cast("binary"))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 

@@ -61,7 +61,7 @@ def running_totals(
     )
     sums = df.groupBy(*keys, "bucket").agg(
         *[F.sum(src).alias(f"_sum_{out}") for out, src in totals.items()],
-        *[F.min(F.struct(*order, src)).alias(f"_head_{out}") for out, src in heads.items()],
+        *[F.min(F.struct(*order, F.col(src).alias("_value"))).alias(f"_head_{out}") for out, src in heads.items()],
         F.count("*").alias("_rows"),
     )
     before = W.partitionBy(*keys).orderBy("bucket")
@@ -74,7 +74,7 @@ def running_totals(
             )
             for out in totals
         ],
-        *[F.lead(f"_head_{out}").over(before)[src].alias(f"_after_{out}") for out, src in heads.items()],
+        *[F.lead(f"_head_{out}").over(before)["_value"].alias(f"_after_{out}") for out in heads],
     )
     joined = part.join(offsets, [*keys, "bucket"])
     return joined.select(
