@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.paths import SEPARATOR, SKIPPED_KEY, col, join_path, key_lists, quoted, variant_at
+from tabwright.functions.paths import SEPARATOR, SKIPPED_KEY, col, join_path, key_lists, variant_at
 from tabwright.functions.values import UNKNOWN, Cell, as_object, column_type, typed_cell, variant_cell, variant_kinds, wrapper_key
 
 DOCUMENT = "doc"
@@ -55,7 +55,7 @@ class Layout:
         if isinstance(dtype, T.StructType):
             for field in dtype.fields:
                 if field.name != SKIPPED_KEY:
-                    self._walk((*keys, field.name), column[quoted(field.name)], field.dataType)
+                    self._walk((*keys, field.name), column.getField(field.name), field.dataType)
         elif isinstance(dtype, T.VariantType):
             self.variants.append((keys, column))
         elif isinstance(dtype, T.MapType) and isinstance(dtype.keyType, T.StringType):

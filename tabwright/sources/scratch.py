@@ -27,3 +27,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Even partitions by a near-unique key, for tables that many passes will read."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key)
