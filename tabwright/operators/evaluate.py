@@ -103,65 +103,66 @@ def one_vs_rest(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def curve_counts(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
+def curve_counts(scored: DataFrame, keys: Sequence[str], n_curves: int | None = None) -> DataFrame:
     """Positives and negatives per distinct score with running totals by falling score.
 
-    Columns: keys, score, pos, neg, tp, fp (inclusive) and the counts of the next step.
+    Columns: keys, score, pos, neg, tp, fp (inclusive), all_pos, all_neg and the counts of
+    the next step.  ``n_curves`` is the number of curves (labels times models) when known;
+    it bounds what value_buckets may broadcast.
     """
     steps = scored.groupBy(*keys, "score").agg(
         F.sum("pos").alias("pos"), (F.count("*") - F.sum("pos")).alias("neg")
     ).withColumn("falling", -F.col("score"))
-    cut = value_buckets(steps, list(keys), "falling", bucket_count(scored))
+    cut = value_buckets(steps, list(keys), "falling", bucket_count(scored), n_curves)
     return running_totals(
-        cut, list(keys), ["falling"], {"tp": "pos", "fp": "neg"}, {"next_pos": "pos", "next_neg": "neg"}
+        cut, list(keys), ["falling"], {"tp": "pos", "fp": "neg"}, {"next_pos": "pos", "next_neg": "neg"},
+        {"all_pos": "tp", "all_neg": "fp"},
     ).drop("bucket", "falling")
 
 
-def curve_totals(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return counts.groupBy(*keys).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-
-
-def roc_points(scored: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
+def roc_points(
+    scored: DataFrame, keys: Sequence[str] = ("label",), n_curves: int | None = None
+) -> DataFrame:
     """(threshold, fpr, tpr) with evenly repeated steps left out, plus the origin.
 
     The origin has a NULL threshold.  A class without positives or negatives has NULL rates.
     """
-    counts = curve_counts(scored, keys)
-    totals = curve_totals(counts, keys)
-    steps = counts.join(totals, list(keys))
+    steps = curve_counts(scored, keys, n_curves)
     first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
     last = F.col("next_pos").isNull()
     bend = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-    points = steps.where(first | last | bend).select(
-        *keys,
+    point = F.struct(
         F.col("score").alias("threshold"),
         ratio(F.col("fp"), F.col("all_neg")).alias("fpr"),
         ratio(F.col("tp"), F.col("all_pos")).alias("tpr"),
     )
-    origin = totals.select(
-        *keys,
+    origin = F.struct(
         F.lit(None).cast("double").alias("threshold"),
         ratio(F.lit(0), F.col("all_neg")).alias("fpr"),
         ratio(F.lit(0), F.col("all_pos")).alias("tpr"),
     )
-    return points.unionByName(origin)
+    # The first step of every curve brings the origin along.
+    kept = F.when(first, F.array(origin, point)).when(last | bend, F.array(point))
+    return steps.select(*keys, F.inline(kept))
 
 
-def roc_auc(scored: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
+def roc_auc(scored: DataFrame, keys: Sequence[str] = ("label",), n_curves: int | None = None) -> DataFrame:
     """Area under the ROC curve; each score step is one trapezoid."""
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
-    return curve_counts(scored, keys).groupBy(*keys).agg(
+    return curve_counts(scored, keys, n_curves).groupBy(*keys).agg(
         ratio(area, F.sum("pos") * F.sum("neg")).alias("auc")
     )
 
 
-def average_precision(scored: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
+def average_precision(scored: DataFrame, keys: Sequence[str] = ("label",), n_curves: int | None = None) -> DataFrame:
     """M1.8: precision summed over recall steps."""
     steps = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
-    return curve_counts(scored, keys).groupBy(*keys).agg(ratio(steps, F.sum("pos")).alias("average_precision"))
+    return curve_counts(scored, keys, n_curves).groupBy(*keys).agg(
+        ratio(steps, F.sum("pos")).alias("average_precision")
+    )
 
 
-def curve_area(points: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
+def curve_area(points: DataFrame, keys: Sequence[str] = ("label",), n_curves: int | None = None) -> DataFrame:
     """Trapezoid area under stored curve points.
 
     Points of one curve are ordered inside value buckets like any other large group.
@@ -169,7 +170,7 @@ def curve_area(points: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame
     known = points.where(F.col("fpr").isNotNull() & F.col("tpr").isNotNull()).select(*keys, "fpr", "tpr")
     spot = known.groupBy(*keys, "fpr", "tpr").agg(F.count("*").alias("same"))
     cut = value_buckets(
-        spot.withColumn("along", F.col("fpr") + F.col("tpr")), list(keys), "along", bucket_count(points)
+        spot.withColumn("along", F.col("fpr") + F.col("tpr")), list(keys), "along", bucket_count(points), n_curves
     )
     stepped = running_totals(
         cut, list(keys), ["along", "fpr", "tpr"], {}, {"next_fpr": "fpr", "next_tpr": "tpr"}
@@ -201,25 +202,27 @@ def count_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def probability_metric(predictions: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
+def probability_metric(
+    predictions: DataFrame, metric: str, by: Sequence[str] = (), n_curves: int | None = None
+) -> DataFrame:
     """M1.5, M1.8: per-label value averaged over labels; two classes use the second one."""
     keys = [*by, "label"]
     scored = one_vs_rest(predictions, by)
     if metric == "roc_auc":
-        per_label, value = roc_auc(scored, keys), "auc"
+        per_label, value = roc_auc(scored, keys, n_curves), "auc"
     else:
-        per_label, value = average_precision(scored, keys), "average_precision"
+        per_label, value = average_precision(scored, keys, n_curves), "average_precision"
     top = F.max("label")
     only_second = F.max(F.when(F.col("label") == 1, F.col(value)))
     return per_label.groupBy(*by).agg(F.when(top == 1, only_second).otherwise(F.avg(value)).alias(metric))
 
 
-def metric_panel(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def metric_panel(predictions: DataFrame, by: Sequence[str] = (), n_curves: int | None = None) -> DataFrame:
     """M1: all eleven metrics per model, one row each."""
     parts = [
         count_metrics(predictions, by),
-        probability_metric(predictions, "roc_auc", by),
-        probability_metric(predictions, "average_precision", by),
+        probability_metric(predictions, "roc_auc", by, n_curves),
+        probability_metric(predictions, "average_precision", by, n_curves),
         log_loss(predictions, by),
     ]
     names = [c for part in parts for c in part.columns if c not in by]
@@ -233,19 +236,21 @@ def metric_panel(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return long.groupBy(*by).pivot("metric", names).agg(F.max("value"))
 
 
-def metric_value(predictions: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
+def metric_value(
+    predictions: DataFrame, metric: str, by: Sequence[str] = (), n_curves: int | None = None
+) -> DataFrame:
     """M1: ``score`` per model, larger is better (log loss is negated)."""
     if metric == "log_loss":
         return log_loss(predictions, by).select(*by, (-F.col("log_loss")).alias("score"))
     if metric in ("roc_auc", "average_precision"):
-        return probability_metric(predictions, metric, by).select(*by, F.col(metric).alias("score"))
+        return probability_metric(predictions, metric, by, n_curves).select(*by, F.col(metric).alias("score"))
     return count_metrics(predictions, by).select(*by, F.col(metric).alias("score"))
 
 
-def performance_table(predictions: DataFrame) -> DataFrame:
+def performance_table(predictions: DataFrame, n_curves: int | None = None) -> DataFrame:
     """Precision, recall and AUC per label."""
     return precision_recall(predictions).select("label", "precision", "recall").join(
-        roc_auc(one_vs_rest(predictions)), "label", "left"
+        roc_auc(one_vs_rest(predictions), n_curves=n_curves), "label", "left"
     )
 
 

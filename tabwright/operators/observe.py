@@ -103,7 +103,8 @@ def _is_open(fields: Column) -> Column:
 def _open_level(nodes: DataFrame) -> DataFrame:
     """Replace every open object by its children; other values pass through."""
     spark = nodes.sparkSession
-    marked = nodes.select("*", F.coalesce(_is_open(as_object(F.col("value"))), F.lit(False)).alias("open"))
+    opened = nodes.select("*", as_object(F.col("value")).alias("_fields"))
+    marked = opened.select(*nodes.columns, F.coalesce(_is_open(F.col("_fields")), F.lit(False)).alias("open"))
     is_open = F.col("open")
     members = spark.tvf.variant_explode_outer(F.when(is_open, F.col("value")).outer()).toDF("_at", "_key", "_child")
     # An open object without members yields one row without a key, which goes away here.
@@ -174,20 +175,19 @@ def observations(
     return rows if keep_unknown else rows.where(F.col("vtype") != UNKNOWN)
 
 
-def has_target(df: DataFrame, target: str, skip: tuple[str, ...] = ()) -> Column:
-    """Target present, not null and not the empty text; 0 and false stay."""
-    cell_source = Layout(df.schema, skip).source(target, 1, len(target.split(SEPARATOR)))
-    if cell_source is None:
-        raise ValueError(f"target {target!r} is not an attribute of the table")
-    if isinstance(cell_source, Leaf):
-        kept = cell_source.column.isNotNull()
-        if isinstance(cell_source.dtype, T.StringType):
-            kept = kept & (cell_source.column != "")
-        return kept
-    tag = F.schema_of_variant(cell_source)
-    empty = (tag == "STRING") & (F.try_variant_get(cell_source, "$", "string") == "")
-    return F.coalesce((tag != "VOID") & ~empty, F.lit(False))
-
-
 def with_target(df: DataFrame, target: str, skip: tuple[str, ...] = ()) -> DataFrame:
-    return df.where(has_target(df, target, skip))
+    """Rows whose target is present, not null and not the empty text; 0 and false stay."""
+    source = Layout(df.schema, skip).source(target, 1, len(target.split(SEPARATOR)))
+    if source is None:
+        raise ValueError(f"target {target!r} is not an attribute of the table")
+    if isinstance(source, Leaf):
+        kept = source.column.isNotNull()
+        if isinstance(source.dtype, T.StringType):
+            kept = kept & (source.column != "")
+        return df.where(kept)
+    # A filter would move below the projection that parses the document and parse it once
+    # more per test; a generator stays where it is.
+    read = df.withColumn("_target", source).withColumn("_target_tag", F.schema_of_variant("_target"))
+    empty = (F.col("_target_tag") == "STRING") & (F.try_variant_get("_target", "$", "string") == "")
+    once = F.when((F.col("_target_tag") != "VOID") & ~F.coalesce(empty, F.lit(False)), F.array(F.lit(True)))
+    return read.select(*[col(c) for c in df.columns], F.explode(once).alias("_kept")).drop("_kept")

@@ -116,19 +116,20 @@ def medians(freq: DataFrame, n_docs: int) -> DataFrame:
             F.percentile(_int_number(), 0.5, F.col("n")).alias("median_int"),
             F.percentile("number", 0.5, F.col("n")).alias("median_float"),
         )
-    ints = median_by_narrowing(numbers.where("int_text"), "median_int")
-    floats = median_by_narrowing(numbers, "median_float")
+    n_paths = numbers.select("path").distinct().count()
+    ints = median_by_narrowing(numbers.where("int_text"), "median_int", n_paths)
+    floats = median_by_narrowing(numbers, "median_float", n_paths)
     return floats.join(ints, "path", "left")
 
 
-def median_by_narrowing(numbers: DataFrame, out: str) -> DataFrame:
+def median_by_narrowing(numbers: DataFrame, out: str, n_paths: int | None = None) -> DataFrame:
     """Exact weighted median per path without holding a path in one task.
 
     Weigh value buckets (map-side combined), keep only the buckets that hold the middle
     ranks, and sort just those.
     """
     same = numbers.groupBy("path", "number").agg(F.sum("n").alias("n"))
-    cut = value_buckets(same, ["path"], "number", bucket_count(numbers))
+    cut = value_buckets(same, ["path"], "number", bucket_count(numbers), n_paths)
     weights = cut.groupBy("path", "bucket").agg(F.sum("n").alias("w"))
     up_to = W.partitionBy("path").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     spans = weights.select(

@@ -13,13 +13,23 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import HASH_RANGE
 
-MAX_BUCKETS = 1024
+MAX_VALUE_BUCKETS = 1024     # a sketch carries this many cut points per group
+MAX_HASH_BUCKETS = 65_536    # one offset row each
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def bucket_count(df: DataFrame) -> int:
-    """As many buckets as a shuffle has partitions, within fixed limits."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(MAX_BUCKETS, parts))
+    """Value buckets per group: as many as a shuffle has partitions, within fixed limits."""
+    return max(8, min(MAX_VALUE_BUCKETS, _shuffle_partitions(df)))
+
+
+def hash_bucket_count(df: DataFrame) -> int:
+    """Hash buckets need no sketch, so a few per shuffle partition keep tasks small."""
+    return max(8, min(MAX_HASH_BUCKETS, 4 * _shuffle_partitions(df)))
 
 
 def hash_bucket(number: Column, buckets: int) -> Column:
@@ -27,12 +37,18 @@ def hash_bucket(number: Column, buckets: int) -> Column:
     return F.floor(number.cast("double") / F.lit(float(HASH_RANGE)) * buckets).cast("int")
 
 
-def value_buckets(df: DataFrame, keys: list[str], order: str, buckets: int) -> DataFrame:
-    """Add ``bucket`` from per-group quantile sketches (merged map-side, fixed size)."""
+def value_buckets(df: DataFrame, keys: list[str], order: str, buckets: int, n_groups: int | None = None) -> DataFrame:
+    """Add ``bucket`` from per-group quantile sketches (merged map-side, fixed size).
+
+    With a known number of groups the cut points have a known size (8 bytes per bucket
+    and group) and are broadcast while they fit; otherwise Spark picks the join.
+    """
     cuts = [i / buckets for i in range(1, buckets)]
     bounds = df.groupBy(*keys).agg(
         F.percentile_approx(order, cuts, F.lit(20 * buckets)).alias("bounds")
     )
+    if n_groups is not None and n_groups * buckets * 8 <= MAX_BROADCAST_BYTES:
+        bounds = F.broadcast(bounds)
     return df.join(bounds, keys).withColumn(
         "bucket", F.size(F.filter("bounds", lambda b: b < F.col(order))).cast("int")
     ).drop("bounds")
@@ -44,14 +60,16 @@ def running_totals(
     order: list[str],
     totals: dict[str, str],
     heads: dict[str, str] | None = None,
+    grand: dict[str, str] | None = None,
 ) -> DataFrame:
     """Inclusive running sums inside ``keys`` by ``order`` (unique within a group).
 
     ``df`` carries an int column ``bucket`` that is monotone in ``order``.  ``totals``
     maps output names to summed columns; ``heads`` maps output names to columns whose
-    value on the next row is wanted (NULL on the last row of the group).
+    value on the next row is wanted (NULL on the last row of the group).  ``grand`` maps
+    output names to names in ``totals`` whose sum over the whole group is wanted.
     """
-    heads = heads or {}
+    heads, grand = heads or {}, grand or {}
     inside = W.partitionBy(*keys, "bucket").orderBy(*order)
     so_far = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     part = df.select(
@@ -74,12 +92,14 @@ def running_totals(
             )
             for out in totals
         ],
+        *[F.sum(f"_sum_{of}").over(W.partitionBy(*keys)).alias(f"_all_{out}") for out, of in grand.items()],
         *[F.lead(f"_head_{out}").over(before)["_value"].alias(f"_after_{out}") for out in heads],
     )
     joined = part.join(offsets, [*keys, "bucket"])
     return joined.select(
         *df.columns,
         *[(F.col(f"_in_{out}") + F.col(f"_off_{out}")).alias(out) for out in totals],
+        *[F.col(f"_all_{out}").alias(out) for out in grand],
         *[
             F.when(F.col(f"_next_{out}").isNotNull(), F.col(f"_next_{out}")[src])
             .otherwise(F.col(f"_after_{out}"))
@@ -91,7 +111,7 @@ def running_totals(
 
 def ranked_by_hash(df: DataFrame, keys: list[str], number: str, tie: str, out: str = "rank") -> DataFrame:
     """Zero-based rank inside ``keys`` by (hash number, tie-breaker)."""
-    buckets = bucket_count(df)
+    buckets = hash_bucket_count(df)
     cut = df.withColumn("bucket", hash_bucket(F.col(number), buckets)).withColumn("_one", F.lit(1).cast("bigint"))
     ranked = running_totals(cut, keys, [number, tie], {out: "_one"})
     return ranked.withColumn(out, F.col(out) - 1).drop("bucket", "_one")

@@ -110,7 +110,7 @@ def mixed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrapped date or text; gap: absent, null or number; ident: wrapped long.
     """
     orders = table(spark, sf_dir, "orders")
-    iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    iso = F.replace(F.col("o_orderdate").cast("string"), F.lit(" "), F.lit("T"))
     ident = F.struct(F.col("o_custkey").cast("string").alias("$numberLong")).alias("ident")
     dated = F.struct(F.struct(iso.alias("$date")).alias("at")).alias("when")
     plain = F.struct(iso.alias("at")).alias("when")

@@ -83,36 +83,36 @@ def confusion_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def roc_points_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curve points of three one-vs-rest curves with many ties."""
-    points = roc_points(one_vs_rest(_line_predictions(spark, sf_dir)))
+    points = roc_points(one_vs_rest(_line_predictions(spark, sf_dir)), n_curves=3)
     return points.select("label", *[rounded(c, c) for c in ("threshold", "fpr", "tpr")])
 
 
 def roc_points_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E9 on document quality by length."""
-    points = roc_points(_document_scores(spark, sf_dir))
+    points = roc_points(_document_scores(spark, sf_dir), n_curves=1)
     return points.select("label", "threshold", rounded("fpr", "fpr"), rounded("tpr", "tpr"))
 
 
 def roc_auc_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A17 on nearly tie-free scores."""
     scored = one_vs_rest(_order_predictions(spark, sf_dir))
-    return roc_auc(scored).select("label", rounded("auc", "auc"))
+    return roc_auc(scored, n_curves=2).select("label", rounded("auc", "auc"))
 
 
 def curve_area_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area under the stored points equals the AUC."""
-    return curve_area(roc_points(one_vs_rest(_line_predictions(spark, sf_dir)))).select("label", rounded("auc", "auc"))
+    return curve_area(roc_points(one_vs_rest(_line_predictions(spark, sf_dir)), n_curves=3), n_curves=3).select("label", rounded("auc", "auc"))
 
 
 def average_precision_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1.8 per label."""
     scored = one_vs_rest(_order_predictions(spark, sf_dir))
-    return average_precision(scored).select("label", rounded("average_precision", "average_precision"))
+    return average_precision(scored, n_curves=2).select("label", rounded("average_precision", "average_precision"))
 
 
 def performance_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E11."""
-    rows = performance_table(_line_predictions(spark, sf_dir))
+    rows = performance_table(_line_predictions(spark, sf_dir), 3)
     return rows.select("label", *[rounded(c, c) for c in ("precision", "recall", "auc")])
 
 
@@ -122,18 +122,18 @@ _PANEL = [
 ]
 
 
-def _panel(predictions: DataFrame) -> DataFrame:
-    return metric_panel(predictions).select(*[rounded(c, c) for c in _PANEL])
+def _panel(predictions: DataFrame, n_labels: int) -> DataFrame:
+    return metric_panel(predictions, n_curves=n_labels).select(*[rounded(c, c) for c in _PANEL])
 
 
 def metric_panel_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1, M1.1-M1.11 for three classes."""
-    return _panel(_line_predictions(spark, sf_dir))
+    return _panel(_line_predictions(spark, sf_dir), 3)
 
 
 def metric_panel_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1, M1.1-M1.11 for two classes."""
-    return _panel(_order_predictions(spark, sf_dir))
+    return _panel(_order_predictions(spark, sf_dir), 2)
 
 
 _FEATURES = ["price", "customer", "status"]

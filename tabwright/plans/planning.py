@@ -26,11 +26,11 @@ class Planned:
 
 
 def plan_table(kept: DataFrame, spec: EstimatorSpec) -> Planned:
-    """Plan rows that already have a target; the frequencies are written once for all readers."""
+    """Plan rows that already have a target; frequencies and plan are written once for all readers."""
     n_docs = kept.count()
     freq = written(freq_of(kept, spec.pos, spec.schema.max_depth), "value_freq")
     profiled = profile(freq)
-    plan = attribute_plan(profiled, medians(freq, n_docs), n_docs, spec)
+    plan = written(attribute_plan(profiled, medians(freq, n_docs), n_docs, spec), "plan")
     return Planned(n_docs, profiled, plan, label_encoders(freq, plan))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.paths import col
+from tabwright.functions.values import utc_text
 
 
 def parse_documents(df: DataFrame, text: str = "text", pos: str | None = "pos") -> DataFrame:
@@ -40,6 +41,13 @@ def as_documents(df: DataFrame, pos: str) -> DataFrame:
     return df.select(col(pos).cast("bigint").alias("pos"), F.to_variant_object(body).alias("doc"))
 
 
+def iso_text(column: Column, dtype: T.DataType) -> Column:
+    """ISO text of a date column; instants end in Z, zone-less ones carry no zone."""
+    if isinstance(dtype, T.TimestampType):
+        return F.concat(F.replace(utc_text(column), F.lit(" "), F.lit("T")), F.lit("Z"))
+    return F.replace(column.cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T"))
+
+
 def _wrapped(column: Column, dtype: T.DataType) -> Column:
     text = column.cast("string")
     if isinstance(dtype, T.LongType):
@@ -49,8 +57,7 @@ def _wrapped(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.FractionalType):
         return F.struct(column.cast("double").cast("string").alias("$numberDouble"))
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        stamp = F.date_format(column.cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        return F.struct(stamp.alias("$date"))
+        return F.struct(iso_text(column, dtype).alias("$date"))
     return column
 
 
