@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -30,6 +31,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Even partitions by a near-unique key, for tables that many passes will read."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, key)
+    """Even partitions by a near-unique key, for tables that many passes will read.
+
+    No number is given, so adaptive execution keeps small tables in few partitions.
+    """
+    return df.repartition(F.col(key))
