@@ -37,10 +37,10 @@ SCHEMA = "doc_id long, item_id long, bm25_share double, question_overlap double,
 class Bm25Options:
     k1: float = 1.2
     b: float = 0.75
-    recall_share: float = 0.4
+    recall_share: float = 0.5
     min_overlap: float = 0.8
     shingle: int = 5
-    block_items: int = 16
+    block_items: int = 2
     least_window: int = 128
     #: Text bytes of the items that one index may hold; more items make more indexes.
     index_bytes: int = 32 << 20
@@ -128,9 +128,10 @@ class BlockIndex:
         fan = self.post_at[term + 1] - self.post_at[term]
         post = np.arange(fan.sum()) - np.repeat(offsets(fan)[:-1], fan) + np.repeat(self.post_at[term], fan)
         key = np.repeat(window, fan) * self.n_blocks + self.post_block[post]
-        bound = np.bincount(key, weights=self.post_most[post], minlength=len(starts) * self.n_blocks)
-        bound = bound.reshape(len(starts), self.n_blocks) + self.cheap
-        return np.flatnonzero(bound.ravel() >= 1 - 1e-9)
+        # Cheap sums stay below the threshold, so a block without an essential term is out.
+        pairs, at = np.unique(key, return_inverse=True)
+        bound = np.bincount(at, weights=self.post_most[post], minlength=len(pairs)) + self.cheap[pairs % self.n_blocks]
+        return pairs[bound >= 1 - 1e-9]
 
     def query(self, doc_ids: list, batch: list[str]) -> Iterator[tuple]:
         """Rows of SCHEMA; per document and item the window with the largest score."""
@@ -152,7 +153,8 @@ class BlockIndex:
             terms = set(ids[starts[w] : ends[w]].tolist())
             lo = block * self.opts.block_items
             for i in range(lo, min(lo + self.opts.block_items, len(self.items))):
-                score = sum(v for t, v in self.weights[i].items() if t in terms)
+                weights = self.weights[i]
+                score = sum(map(weights.__getitem__, weights.keys() & terms))
                 if score < 1 - 1e-9:
                     continue
                 d = int(doc[w])
