@@ -258,7 +258,7 @@ def landmark_words(sample: DataFrame, opts: KernelOptions) -> list[str]:
             for text, y in zip(frame.text, frame.y):
                 found = {w.strip(".,;:!?") for s in sentences((text or "").lower()) for w in s}
                 found = [w for w in found if 3 <= len(symbols(w)) <= 40]
-                yield pd.DataFrame({"word": found, "y": y})
+                yield pd.DataFrame({"word": pd.Series(found, dtype=object), "y": y})
 
     counts = sample.mapInPandas(split, "word string, y int").groupBy("word").agg(
         F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("n")
