@@ -45,11 +45,13 @@ class SearchOptions:
     metric: str = "accuracy"
     num_folds: int = 5
     parallelism: int = 1
-    max_global_time: int = 600
-    max_permodel_time: int = 60
+    #: Seconds; unset means no budget, so results do not depend on the machine's speed.
+    max_global_time: int | None = None
+    max_permodel_time: int | None = None
     ensemble_size: int = 50
     ensemble_nbest: float | int = 0.2
-    max_models: int = 50
+    #: Candidates to try, in their fixed order; unset means all.
+    max_models: int | None = None
     include: frozenset[str] | None = None
     exclude: frozenset[str] = frozenset()
     include_preprocessors: frozenset[str] | None = None
@@ -102,7 +104,6 @@ _SEARCH_KEYS = {
     "max_permodel_time": ("max_permodel_time", int),
     "ensemble_size": ("ensemble_size", int),
     "ensemble_nbest": ("ensemble_nbest", read_nbest),
-    "max_models_on_disc": ("max_models", int),
 }
 _SCHEMA_KEYS = {
     "attr_type_min_present": ("min_present", float),
@@ -139,7 +140,7 @@ def specs_from_settings(settings: dict) -> list[EstimatorSpec]:
                 source=entry["src_collname"],
                 target=entry["target_name"],
                 pos=entry.get("pos", "pos"),
-                is_classification=is_true(entry.get("is_classification", "true")),
+                is_classification=is_true(entry.get("is_classification", str(not is_regression))),
                 is_regression=is_regression,
                 random_seed=int(entry.get("random_seed", shared.get("random_seed", 10001))),
                 schema=_overridden(SchemaOptions(), _SCHEMA_KEYS, schema_part, entry),

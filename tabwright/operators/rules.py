@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.config import EstimatorSpec
+from tabwright.functions.numbers import text_to_double
 from tabwright.functions.values import (
     CATEGORICAL, DATE, FLOAT, INT, LEARNING_TYPES, MISSING_TEXT, NUMERICAL, STRING,
 )
@@ -101,7 +102,7 @@ def numeric_default() -> Column:
     by_type = F.when(F.col("type") == INT, F.coalesce("median_int", "mean_int")).otherwise(
         F.coalesce("median_float", "mean_float")
     )
-    return F.coalesce(by_type, F.expr("try_cast(mode AS DOUBLE)"), F.lit(0.0))
+    return F.coalesce(by_type, text_to_double(F.col("mode")), F.lit(0.0))
 
 
 def categorical_default() -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.paths import col
+from tabwright.sources.scratch import written
 
 
 @dataclass(frozen=True)
@@ -48,24 +49,39 @@ EARLY_DIABETES = TableFormat((
 ), header=True)
 
 
-def read_delimited(spark: SparkSession, path: str, layout: TableFormat) -> DataFrame:
-    """Rows with the wanted types; blank lines and rows without any value are left out."""
-    raw_types = ", ".join(f"`{name}` {'string' if kind == 'string' else 'double'}" for name, kind in layout.columns)
-    rows = (
-        spark.read.schema(raw_types)
+_BAD = "_bad_row"
+
+
+def _raw(spark: SparkSession, path: str, layout: TableFormat) -> DataFrame:
+    types = ", ".join(f"`{name}` {'string' if kind == 'string' else 'double'}" for name, kind in layout.columns)
+    return (
+        spark.read.schema(f"{types}, {_BAD} string")
         .option("header", layout.header)
         .option("enforceSchema", True)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", layout.padded)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BAD)
         .csv(path)
-        .na.drop("all")
     )
+
+
+def read_delimited(spark: SparkSession, path: str, layout: TableFormat) -> DataFrame:
+    """Rows with the wanted types; blank lines are left out, rows that do not fit go to ``bad_rows``."""
+    rows = _raw(spark, path, layout).where(col(_BAD).isNull()).drop(_BAD).na.drop("all")
     return rows.select(
-        *[(col(name).cast("int") if kind == "int" else col(name)).alias(name) for name, kind in layout.columns]
+        *[(col(name).cast("bigint") if kind == "int" else col(name)).alias(name) for name, kind in layout.columns]
     )
 
 
+def bad_rows(spark: SparkSession, path: str, layout: TableFormat) -> DataFrame:
+    """The lines that do not fit the layout: a text in a number field, too many or too few fields.
+
+    Spark gives the raw line only beside parsed fields, so the parsed rows are saved first.
+    """
+    return written(_raw(spark, path, layout), "parsed").where(col(_BAD).isNotNull()).select(F.col(_BAD).alias("line"))
+
+
 def numbered(df: DataFrame) -> DataFrame:
     """Add the file-order position that settles ties."""
     return df.withColumn("pos", F.monotonically_increasing_id())

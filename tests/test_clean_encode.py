@@ -9,7 +9,7 @@ from tabwright.functions.paths import col
 from tabwright.operators.clean import Attribute, accepted, clean_columns, quarantined
 from tabwright.operators.encode import DEFAULT, KEEP, decode, encode_rows, senses, target_labels
 from tabwright.plans.report import default_row, sample_request
-from tabwright.sources.delimited import ADULT, EARLY_DIABETES, IRIS, WINE, read_delimited
+from tabwright.sources.delimited import ADULT, EARLY_DIABETES, IRIS, WINE, bad_rows, read_delimited
 from tabwright.sources.documents import read_json_lines, readable, write_json_lines
 
 
@@ -137,6 +137,14 @@ def test_delimited_formats(spark, tmp_path):
     assert diabetes == [(40, *["No"] * 15, "Positive")]
 
 
+def test_bad_delimited_rows_are_set_aside(spark, tmp_path):
+    lines = ["1.5,2.5,3.5,4.5,Own-kind", "1.5,x,3.5,4.5,Own-kind", "1.5,2.5,3.5,4.5,Own-kind,more", "1.5;2.5;3.5;4.5;Own-kind"]
+    (tmp_path / "rows").write_text("\n".join(lines) + "\n")
+    good = read_delimited(spark, str(tmp_path / "rows"), IRIS).collect()
+    bad = {r.line for r in bad_rows(spark, str(tmp_path / "rows"), IRIS).collect()}
+    assert [r["class"] for r in good] == ["Own-kind"] and bad == set(lines[1:])
+
+
 def test_extended_json_lines_round_trip(spark, tmp_path):
     df = spark.sql("select 5 i, 7L l, 2.5D d, 's' s, timestamp_ntz'2020-01-02 03:04:05' t, cast(null as int) n")
     write_json_lines(df, str(tmp_path / "out"))
