@@ -6,9 +6,9 @@ bijections of 32-bit numbers, so two of them give all coordinates. Bands of the
 candidates; every link is confirmed on the full sets.
 
 Work stays near linear in big groups. Equal sets become one node first. In each band bucket every
-node is compared with the bucket's least node (a star). Only buckets whose nodes are then not yet in
+node is compared with the bucket's head (a star), the node that meets most others. Only buckets whose nodes are then not yet in
 one component go on: there all pairs of different components are compared by signature inside the
-task, in blocks, and those that may reach the threshold are verified as well. A pair inside one
+task, in blocks, then by shortened sets, and those that may reach the threshold are verified as well. A pair inside one
 component needs no test, since the result is the components. With 32 bands of 4 coordinates a pair
 at the threshold of 0.8 shares no band with probability 5e-8; the signature test lets a pair at the
 threshold pass but for a probability below 1e-8.
@@ -44,7 +44,7 @@ class MinHashOptions:
     percent: int = 80
     bands: int = 32
     rows: int = 4
-    #: Coordinates out of bands * rows that must agree before a pair is verified (of 128: 58 %).
+    #: Coordinates out of bands * rows that must agree before a pair's sets are compared (of 128: 58 %).
     least_agree: int = 74
     #: Nodes of one block when an open bucket's pairs are compared.
     block: int = 512
@@ -160,33 +160,47 @@ def verified(pairs: DataFrame, sets: DataFrame, opts: MinHashOptions) -> DataFra
 def _open_pairs(open_members: DataFrame, opts: MinHashOptions) -> DataFrame:
     """Pairs of nodes of different components that share an open bucket and agree in their signatures.
 
-    A bucket's nodes are numbered into blocks by hash; each task compares two blocks at most, so a
-    bucket of any size is split. Only pairs that pass leave the task.
+    A bucket's nodes are put into blocks by hash; each task compares two blocks at most, so a
+    bucket of any size is split. A pair is looked at in the first bucket that both share, and not if
+    that bucket's star has tested it. Pairs that agree in their signatures are compared by the low
+    16 bits of their shingle hashes, which can only add to the shared count; only pairs that still
+    reach the threshold, nearly all of them links, leave the task to be verified on the full sets.
     """
-    width = opts.block
     sizes = open_members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    n_blocks = F.ceil(F.col("size") / width).cast("int")
+    n_blocks = F.ceil(F.col("size") / opts.block).cast("int")
     own = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
     placed = open_members.join(sizes, "key").withColumns({"blocks": n_blocks, "own": own})
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    sent = placed.select("key", "node", "component", "n", "sig", "own", other)
+    sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sent = sent.select(
-        "key", "node", "component", "n", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+        "key", "head", "node", "component", "n", "sig", "bands", "codes", "own", F.least("own", "other").alias("i"),
+        F.greatest("own", "other").alias("j"),
     )
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("node")
         sig = np.frombuffer(b"".join(frame.sig), dtype=np.uint16).reshape(len(frame), -1)
+        bands = np.stack(frame.bands.to_list())
         node, comp, n, own = (frame[c].to_numpy(dtype=np.int64) for c in ("node", "component", "n", "own"))
+        key, head = frame["key"].iloc[0], frame["head"].iloc[0]
         # Two blocks: only pairs across them, as each block meets itself in its own task.
         across = frame.i.iloc[0] != frame.j.iloc[0]
+        codes = [c.view(np.uint16) for c in (np.asarray(c, dtype=np.int16) for c in frame.codes)]
+        present = np.zeros(1 << 16, dtype=bool)
         out = []
         for x in range(len(frame)):
+            if node[x] == head:
+                continue
             y = np.arange(x + 1, len(frame))
-            y = y[(comp[y] != comp[x]) & ((own[y] != own[x]) | (not across))]
+            y = y[(comp[y] != comp[x]) & (node[y] != head) & ((own[y] != own[x]) | (not across))]
             y = y[(n[y] * 100 >= n[x] * opts.percent) & (n[x] * 100 >= n[y] * opts.percent)]
             y = y[(sig[y] == sig[x]).sum(axis=1) >= opts.least_agree] if len(y) else y
-            out += [(max(node[x], node[z]), min(node[x], node[z])) for z in y]
+            y = y[bands[x][(bands[y] == bands[x]).argmax(axis=1)] == key] if len(y) else y
+            present[codes[x]] = True
+            for z in y:
+                most = min(int(present[codes[z]].sum()), int(n[x]))
+                if most * 100 >= (n[x] + n[z] - most) * opts.percent:
+                    out.append((max(node[x], node[z]), min(node[x], node[z])))
+            present[codes[x]] = False
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return sent.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
@@ -203,22 +217,31 @@ def near_duplicates(docs: DataFrame, opts: MinHashOptions = MinHashOptions()) ->
     nodes = written(nodes.select("node", "digest", "n", "sig", "bands").dropDuplicates(["node"]), "nodes")
 
     members = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = written(members.join(buckets.select("key", "head"), "key"), "buckets")
-    star = shared.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    found = written(members.join(sizes, "key"), "members")
+    # The node that meets most others is the likely origin of a group of copies: it heads its buckets.
+    degree = found.groupBy("node").agg(F.sum("size").alias("degree"))
+    ranked = found.join(degree, "node").select("key", "node", F.struct("degree", (-F.col("node")).alias("least")).alias("rank"))
+    heads_of = ranked.groupBy("key").agg((-F.max("rank")["least"]).alias("head"))
+    shared = written(found.select("key", "node").join(heads_of, "key"), "buckets")
+    star = shared.where("node <> head").select(F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b"))
+    star = star.distinct()
     ends = shared.select("node").distinct()
     # Every node that any later step compares is in a bucket, so its set is made once, here.
     sets = written(full_sets(docs, nodes.join(ends, "node"), opts), "sets")
     links = written(verified(star, sets, opts), "links")
     first = components(links)
 
-    placed = shared.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = shared.join(first, "node", "left").select("key", "head", "node", F.coalesce("component", "node").alias("component"))
     # A bucket of two has been tested in full by its star.
     still = placed.groupBy("key").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")
     )
     still = still.where("lo < hi AND size > 2").select("key")
-    open_members = placed.join(still, "key").join(nodes.select("node", "n", "sig"), "node")
+    # bigint.cast wraps only with ANSI off, so the low bits are moved into the range of a short.
+    low = F.transform("items", lambda x: (x.bitwiseAND(0xFFFF) - (1 << 15)).cast("smallint")).alias("codes")
+    open_members = placed.join(still, "key").join(nodes.select("node", "n", "sig", "bands"), "node")
+    open_members = open_members.join(sets.select("node", low), "node")
     extra = written(_open_pairs(open_members, opts).join(star, ["a", "b"], "left_anti"), "open")
     found = components(links.unionAll(verified(extra, sets, opts)))
 
