@@ -29,21 +29,26 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return hung.where("a > b").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Every node hangs on one node at most and no node with a parent has children: the trees are stars."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with a link; the component is its smallest node.
 
     ``edges``: columns a, b (long, not null); loops and repeated edges are ignored. Every round's
-    edges are written to the shared folder, so a lost executor costs one round at most. The rounds
-    end when both stars leave the edges as they are, which takes about log(nodes) of them.
+    edges are written to the shared folder, so a lost executor costs one round at most. The rounds,
+    about log(nodes) of them, end when the edges are stars, which one pass over them tells; a star's
+    middle is smaller than its leaves, since every edge leads from the larger node to the smaller.
     """
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
     now = written(now, "edges")
-    mark = None
-    while True:
-        row = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if row[0] == 0 or (row[0], row[1]) == mark:
-            break
-        mark = (row[0], row[1])
+    while not _settled(now):
         now = written(_star(_star(now, large=True), large=False), "edges")
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)

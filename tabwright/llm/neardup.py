@@ -243,9 +243,15 @@ def near_duplicates(docs: DataFrame, opts: MinHashOptions = MinHashOptions()) ->
     open_members = placed.join(still, "key").join(nodes.select("node", "n", "sig", "bands"), "node")
     open_members = open_members.join(sets.select("node", low), "node")
     extra = written(_open_pairs(open_members, opts).join(star, ["a", "b"], "left_anti"), "open")
-    found = components(links.unionAll(verified(extra, sets, opts)))
-
-    classes = heads.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("found"))
+    # The links found last join whole components, so only those components are gone through again.
+    late = verified(extra, sets, opts)
+    for end in ("a", "b"):
+        of_end = first.select(F.col("node").alias(end), F.col("component").alias("_c"))
+        late = late.join(of_end, end, "left").withColumn(end, F.coalesce("_c", end)).drop("_c")
+    merged = components(late).select(F.col("node").alias("root"), F.col("component").alias("joined"))
+    found = heads.join(first, "node", "left").withColumn("root", F.coalesce("component", "node")).join(merged, "root", "left")
+
+    classes = found.select("digest", F.coalesce("joined", "root").alias("found"))
     by_id = own.join(classes, "digest").select("doc_id", "found")
     component = F.coalesce("found", "doc_id")
     return rows.select("doc_id", "n").join(by_id, "doc_id", "left").select(
