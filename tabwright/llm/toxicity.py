@@ -87,12 +87,11 @@ def sentences(text: str) -> list[list[str]]:
     return [w for s in _SENTENCE.split(text) if s and (w := s.split())]
 
 
-def features(words: list[str], span: int, decay: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(coded: list[str], span: int, decay: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, triple, weight): all subsequences of three symbols inside ``span`` symbols, repeats apart."""
-    coded = [w.translate(_TABLE) for w in words]
     at = offsets([len(w) for w in coded])
     chars = np.frombuffer("".join(coded).encode("ascii"), dtype=np.uint8).astype(np.int32)
-    owner = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(at))
+    owner = np.repeat(np.arange(len(coded), dtype=np.int32), np.diff(at))
     left = np.repeat(at[1:], np.diff(at)) - np.arange(len(chars))  # symbols from here to the word's end
     out = []
     for far in range(2, span):
@@ -107,7 +106,7 @@ def features(words: list[str], span: int, decay: float) -> tuple[np.ndarray, np.
 
 def unit_features(words: list[str], span: int, decay: float) -> np.ndarray:
     """Dense (words, triples) rows of length 1; for small lists."""
-    word, code, weight = features(words, span, decay)
+    word, code, weight = features([symbols(w) for w in words], span, decay)
     dense = np.zeros((len(words), _SYMBOLS**3), dtype=np.float32)
     np.add.at(dense, (word, code), weight)
     return dense / np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
@@ -124,14 +123,22 @@ class Landmarks:
         self.slot[used] = np.arange(len(used))
         self.weight = np.ascontiguousarray(dense[:, used].T)
         self.most = self.weight.max(axis=1) if len(words) else np.zeros(0, np.float32)
+        # Landmarks that are neighbours in the alphabet share triples, so their largest weights bound them well.
+        groups = np.array_split(np.argsort(np.array(words)), -(-len(words) // 8)) if words else []
+        self.bound = np.stack([self.weight[:, g].max(axis=1) for g in groups], axis=1) if groups else self.weight
         self.gram = dense @ dense.T
         values, vectors = np.linalg.eigh(self.gram.astype(np.float64) + 1e-3 * np.eye(len(words)))
         self.root = (vectors / np.sqrt(values)) @ vectors.T
 
     def kernel(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Words (by place) that reach the floor with a landmark, and their kernel rows.
+        """Words (by place) that reach the floor with a landmark, and their kernel rows."""
+        return self.coded_kernel([symbols(w) for w in words])
 
-        A word's bound - each triple at its largest landmark weight - prunes before exact values.
+    def coded_kernel(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words given as symbols (by place) that reach the floor with a landmark, and their kernel rows.
+
+        Bounds prune before exact values: each triple at its largest weight in any landmark, then
+        in each group of eight landmarks.
         """
         o = self.opts
         word, code, weight = features(words, o.span, o.decay)
@@ -142,25 +149,28 @@ class Landmarks:
         most = np.bincount(word[hit], weights=weight[hit] * self.most[slot[hit]], minlength=len(words))
         maybe = np.flatnonzero(most >= o.floor * np.maximum(low, 1e-9) - 1e-6)
         maybe = maybe[low[maybe] > 0]
-        keep, rows = [], []
         place = np.full(len(words), -1, dtype=np.int64)
+        place[maybe] = np.arange(len(maybe))
+        own = place[word] >= 0
+        word, code, weight = place[word[own]], code[own].astype(np.int64), weight[own]
+        # The triples come in one sorted run per gap, which a stable sort merges.
+        order = np.argsort(word, kind="stable")
+        word, code, weight = word[order], code[order], weight[order]
+        keep, rows = [], []
         for start in range(0, len(maybe), 4096):
             part = maybe[start : start + 4096]
-            place[part] = np.arange(len(part))
-            own = place[word] >= 0
-            key = place[word[own]] * _SYMBOLS**3 + code[own]
+            lo, hi = np.searchsorted(word, (start, start + len(part)))
+            key = (word[lo:hi] - start) * _SYMBOLS**3 + code[lo:hi]
             uniq, inverse = np.unique(key, return_inverse=True)
-            total = np.bincount(inverse, weights=weight[own], minlength=len(uniq))
-            place[part] = -1
+            total = np.bincount(inverse, weights=weight[lo:hi], minlength=len(uniq))
             who, what = uniq // _SYMBOLS**3, self.slot[uniq % _SYMBOLS**3]
             norm = np.sqrt(np.bincount(who, weights=total * total, minlength=len(part)))
             known = what >= 0
-            value = self.weight[what[known]] * total[known, None].astype(np.float32)
-            heads = np.flatnonzero(np.diff(who[known], prepend=-1))
-            dense = np.zeros((len(part), len(self.words)), dtype=np.float32)
-            if len(heads):
-                dense[who[known][heads]] = np.add.reduceat(value, heads, axis=0)
-            dense /= np.maximum(norm, 1e-9)[:, None]
+            sparse = np.zeros((len(part), len(self.weight)), dtype=np.float32)
+            sparse[who[known], what[known]] = total[known]
+            sparse /= np.maximum(norm, 1e-9)[:, None]
+            close = (sparse @ self.bound).max(axis=1) >= o.floor - 1e-5
+            part, dense = part[close], sparse[close] @ self.weight
             dense[dense < o.floor] = 0
             strong = dense.any(axis=1)
             keep.append(part[strong])
@@ -172,9 +182,12 @@ class Landmarks:
     def sentence_rows(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(text, feature row) of the sentences that hold a landmark-like word; the others are all 0."""
         split = [sentences(t.lower()) for t in batch]
-        distinct = list({w for text in split for s in text for w in s})
-        found, kernels = self.kernel(distinct)
-        near = {distinct[k]: i for i, k in enumerate(found)}
+        # Words that differ in case, signs or look-alike letters only are one list of symbols.
+        coded = {w: symbols(w) for w in {w for text in split for s in text for w in s}}
+        distinct = list(set(coded.values()))
+        found, kernels = self.coded_kernel(distinct)
+        place = {distinct[k]: i for i, k in enumerate(found)}
+        near = {w: place[c] for w, c in coded.items() if c in place}
         owner, rows = [], []
         for i, text in enumerate(split):
             for s in text:
