@@ -160,17 +160,26 @@ def verified(pairs: DataFrame, sets: DataFrame, opts: MinHashOptions) -> DataFra
 def _open_pairs(open_members: DataFrame, opts: MinHashOptions) -> DataFrame:
     """Pairs of nodes of different components that share an open bucket and agree in their signatures.
 
-    A bucket's nodes are put into blocks by hash; each task compares two blocks at most, so a
-    bucket of any size is split. A pair is looked at in the first bucket that both share, and not if
+    A bucket's nodes are put into blocks by hash, those of its largest component apart from the rest;
+    each task compares two blocks at most, so a bucket of any size is split. Blocks of the largest
+    component never meet each other, as no pair inside a component needs a test. A pair is looked at in the first bucket that both share, and not if
     that bucket's star has tested it. Pairs that agree in their signatures are compared by the low
     16 bits of their shingle hashes, which can only add to the shared count; only pairs that still
     reach the threshold, nearly all of them links, leave the task to be verified on the full sets.
     """
-    sizes = open_members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    n_blocks = F.ceil(F.col("size") / opts.block).cast("int")
-    own = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
-    placed = open_members.join(sizes, "key").withColumns({"blocks": n_blocks, "own": own})
-    sent = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    parts = open_members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("part"))
+    sizes = parts.groupBy("key").agg(
+        F.sum("part").alias("size"), F.max("part").alias("most"), F.max_by("component", F.struct("part", "component")).alias("main")
+    )
+    small, is_main = F.col("size") <= opts.block, F.col("component") == F.col("main")
+    rest_blocks = F.when(small, 1).otherwise(F.ceil((F.col("size") - F.col("most")) / opts.block)).cast("int")
+    main_blocks = F.when(small, 0).otherwise(F.ceil(F.col("most") / opts.block)).cast("int")
+    placed = open_members.join(sizes, "key").withColumns({"rest": rest_blocks, "mains": main_blocks})
+    dealt = F.xxhash64("node")
+    in_main = F.col("rest") + F.pmod(dealt, F.greatest("mains", F.lit(1)))
+    own = F.when(is_main & ~small, in_main).otherwise(F.pmod(dealt, F.col("rest"))).cast("int")
+    last = F.col("rest") - 1 + F.when(is_main, 0).otherwise(F.col("mains"))
+    sent = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     sent = sent.select(
         "key", "head", "node", "component", "n", "sig", "bands", "codes", "own", F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
