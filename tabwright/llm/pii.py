@@ -7,12 +7,16 @@ The field adds spans. Nodes are the tokens (runs without white space) with a dig
 other tokens are none of the kinds and act as a fixed border. Chain factors tie neighbouring
 nodes, skip factors tie each node with the next distant one that is the same or similar - equal without
 case and surrounding marks, or with the same last seven digits - so a number or address that is
-clear in one place is found in its other places as well. Loopy sum-product belief propagation runs over all
+clear in one place is found in its other places as well. A pair of neighbouring tokens has a chain factor only.
+The labels of base spans are observed. Tokens that share seven digits or a whole address with an observed
+one are tied to it by a factor of fixed strength; chance makes such a pair once in ten million. Loopy sum-product belief propagation runs over all
 nodes of a batch at once, a fixed number of rounds, in time linear in the nodes. A token becomes a
-span if a kind's belief reaches ``least_belief``, no base span covers it, and it passes its kind's check.
+span if a kind's belief reaches ``least_belief``, no base span covers it, and it passes its kind's check;
+digits and dots alone are a phone only when so tied to an observed one.
 
 Training is by pseudo-likelihood on at most ``max_documents`` documents that have nodes, chosen by a
-hash of id and text, with the base spans as labels. Scoring reads every text whole.
+hash of id and text, with the base spans as labels; a token tied to one of them teaches nothing. Training
+and scoring read every text whole; of the sample, the nodes come to the driver and not the texts.
 
 Defined results: null and empty texts have no span. Repeated rows are judged each. Offsets are code
 points, ends exclusive. Other columns pass through untouched. Without any node in the table the
@@ -24,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -45,6 +49,8 @@ _TOKEN = re.compile(r"\S+")
 #: Labels of the field: 0 is none, then the kinds.
 _N = 1 + len(KINDS)
 _BUCKETS = 4096
+#: Log of the odds against chance that seven digits are the same.
+_SURE = float(np.log(1e7))
 
 
 @dataclass(frozen=True)
@@ -122,13 +128,17 @@ def _bucket(feature: str) -> int:
 
 @dataclass
 class Nodes:
-    """The nodes of one text: token spans, hashed features, chain and skip neighbours."""
+    """The nodes of one text: token spans, hashed features, chain and skip neighbours, observed labels.
+
+    ``tied``: per node the label of the observed nodes that it shares seven digits or an address with, or 0.
+    """
 
     spans: list[tuple[int, int]]
     features: list[list[int]]
     chain: list[tuple[int, int]]
     skip: list[tuple[int, int]]
     labels: list[int]
+    tied: list[int] = field(default_factory=list)
 
 
 def nodes_of(text: str, spans: list[tuple[str, int, int]]) -> Nodes:
@@ -138,6 +148,7 @@ def nodes_of(text: str, spans: list[tuple[str, int, int]]) -> Nodes:
     tokens = [m.span() for m in _TOKEN.finditer(text)]
     held = [bool(_HINT.search(text, s, e)) for s, e in tokens]
     last_by_key: dict[str, int] = {}
+    name: list[str] = []
     node_at: dict[int, int] = {}
     cover = sorted((s, e, 1 + KINDS.index(k)) for k, s, e in spans)
     c = 0
@@ -163,11 +174,17 @@ def nodes_of(text: str, spans: list[tuple[str, int, int]]) -> Nodes:
         node_at[t] = node
         if t - 1 in node_at:
             out.chain.append((node_at[t - 1], node))
+        name.append(core if "@" in core else digits[-7:] if len(digits) >= 7 else "")
         for key in {f"t:{core}", f"d:{digits[-7:]}" if len(digits) >= 7 else f"t:{core}"}:
             other = last_by_key.get(key)
-            if core and other is not None and other < node - 1:
+            if core and other is not None and node_at.get(t - 1) != other:
                 out.skip.append((other, node))
             last_by_key[key] = node
+    seen: dict[str, set[int]] = {}
+    for n, label in zip(name, out.labels):
+        if n and label:
+            seen.setdefault(n, set()).add(label)
+    out.tied = [min(seen[n]) if len(seen.get(n, ())) == 1 else 0 for n in name]
     return out
 
 
@@ -181,19 +198,20 @@ class SkipChainField:
 
     @classmethod
     def train(cls, found: list[Nodes], opts: FieldOptions) -> SkipChainField:
-        feats, labels, chain, skip = _joined(found)
+        feats, labels, chain, skip, tied = _joined(found)
         f = cls(np.zeros((_BUCKETS, _N)), np.zeros((_N, _N)), np.zeros((_N, _N)))
         if not len(labels):
             return f
         memory = [np.full_like(x, 1e-8) for x in (f.unary, f.chain, f.skip)]
         target = np.eye(_N)[labels]
+        known = (labels > 0) | (tied == 0)
         for _ in range(opts.steps):
             score = f.unary[feats].sum(axis=1)
             for table, edges in ((f.chain, chain), (f.skip, skip)):
                 if len(edges):
                     np.add.at(score, edges[:, 1], table[labels[edges[:, 0]]])
                     np.add.at(score, edges[:, 0], table.T[labels[edges[:, 1]]])
-            error = (_softmax(score) - target) / len(labels)
+            error = (_softmax(score) - target) * known[:, None] / len(labels)
             grads = [np.zeros_like(f.unary), np.zeros_like(f.chain), np.zeros_like(f.skip)]
             for column in feats.T:
                 np.add.at(grads[0], column, error)
@@ -211,12 +229,16 @@ class SkipChainField:
 
     def beliefs(self, found: list[Nodes], rounds: int) -> np.ndarray:
         """(nodes, labels): loopy sum-product messages along both directions of every factor."""
-        feats, labels, chain, skip = _joined(found)
+        feats, labels, chain, skip, tied = _joined(found)
         if not len(labels):
             return np.zeros((0, _N))
         unary = self.unary[feats].sum(axis=1)
+        observed = np.flatnonzero(labels)
+        unary[observed, labels[observed]] += 2 * _SURE
+        alike = (tied[skip[:, 0]] > 0) & (tied[skip[:, 0]] == tied[skip[:, 1]])
+        skip_tables = self.skip + alike[:, None, None] * (_SURE * np.eye(_N))
         edges = np.concatenate([chain, skip]).reshape(-1, 2)
-        tables = np.concatenate([np.repeat(self.chain[None], len(chain), 0), np.repeat(self.skip[None], len(skip), 0)])
+        tables = np.concatenate([np.repeat(self.chain[None], len(chain), 0), skip_tables])
         source = np.concatenate([edges[:, 0], edges[:, 1]])
         target = np.concatenate([edges[:, 1], edges[:, 0]])
         tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
@@ -240,16 +262,18 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _joined(found: list[Nodes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    feats, labels, chain, skip, base = [], [], [], [], 0
+def _joined(found: list[Nodes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    feats, labels, chain, skip, tied, base = [], [], [], [], [], 0
     for n in found:
         feats += n.features
         labels += n.labels
+        tied += n.tied or [0] * len(n.labels)
         chain += [(a + base, b + base) for a, b in n.chain]
         skip += [(a + base, b + base) for a, b in n.skip]
         base += len(n.spans)
     as_edges = lambda e: np.array(e, dtype=np.int64).reshape(-1, 2)
-    return np.array(feats, dtype=np.int64), np.array(labels, dtype=np.int64), as_edges(chain), as_edges(skip)
+    as_ints = lambda x: np.array(x, dtype=np.int64)
+    return as_ints(feats), as_ints(labels), as_edges(chain), as_edges(skip), as_ints(tied)
 
 
 def added_spans(text: str, nodes: Nodes, belief: np.ndarray, base: list[tuple[str, int, int]], least: float) -> list[tuple[str, int, int]]:
@@ -274,8 +298,17 @@ def added_spans(text: str, nodes: Nodes, belief: np.ndarray, base: list[tuple[st
         else:
             out.append([kind, start, end])
     checked = [(k, s, e) for k, s, e in out if valid(k, text[s:e])]
-    # A dotted number that is no address, or a long one that is no card, is not a phone either.
-    return [(k, s, e) for k, s, e in checked if k != "phone" or not re.fullmatch(r"[0-9.]+", text[s:e])]
+    # A dotted number that is no address, or a long one that is no card, is a phone only as the repeat of one.
+    phone = 1 + KINDS.index("phone")
+    repeats = [span for span, tied in zip(nodes.spans, nodes.tied) if tied == phone]
+    at = [s for s, _ in repeats]
+
+    def repeat(start: int, end: int) -> bool:
+        # Digits and dots hold no blank, so the span lies in one token.
+        k = int(np.searchsorted(at, start, side="right")) - 1
+        return k >= 0 and repeats[k][1] >= end
+
+    return [(k, s, e) for k, s, e in checked if k != "phone" or not re.fullmatch(r"[0-9.]+", text[s:e]) or repeat(s, e)]
 
 
 def find(batch: list[str], field: SkipChainField, opts: FieldOptions) -> list[tuple[list, list]]:
@@ -296,21 +329,30 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
+def _packed(nodes: Nodes) -> bytes:
+    """Nodes as bytes, without their places in the text."""
+    parts = [nodes.labels, nodes.tied, nodes.features, nodes.chain, nodes.skip]
+    counts = np.array([len(nodes.labels), len(nodes.chain), len(nodes.skip)], dtype=np.int32)
+    return counts.tobytes() + b"".join(np.array(p, dtype=np.int32).tobytes() for p in parts)
+
+
+def _unpacked(data: bytes) -> Nodes:
+    flat = np.frombuffer(data, dtype=np.int32)
+    n, n_chain, n_skip = map(int, flat[:3])
+    rest = len(flat) - 3 - 2 * n - 2 * n_chain - 2 * n_skip
+    labels, tied, features, chain, skip = np.split(flat[3:], np.cumsum([n, n, rest, 2 * n_chain]))
+    pairs = lambda x: [tuple(p) for p in x.reshape(-1, 2).tolist()]
+    rows = features.reshape(n, -1).tolist() if n else []
+    return Nodes([(0, 0)] * n, rows, pairs(chain), pairs(skip), labels.tolist(), tied.tolist())
+
+
 def fit(docs: DataFrame, opts: FieldOptions = FieldOptions()) -> SkipChainField:
-    """Train on a bounded sample: windows of the texts around their nodes, not whole texts, come to the driver."""
+    """Train on a sample of bounded rows; the nodes of the whole texts come to the driver, not the texts."""
 
-    def windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def nodes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames):
-            kept = []
-            for text in frame.text:
-                at = [m.start() for m in _HINT.finditer(text)][:64]
-                parts, end = [], 0
-                for a in at:
-                    if a >= end:
-                        end = a + 120
-                        parts.append(text[max(0, a - 40) : end])
-                kept.append("\n".join(parts))
-            yield pd.DataFrame({"window": kept})
+            found = [nodes_of(t, base_spans(t)) for t in texts(frame)]
+            yield pd.DataFrame({"nodes": [_packed(n) for n in found]})
 
     some = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
     # Short keys choose the sample, so the texts of other documents are not moved.
@@ -319,9 +361,9 @@ def fit(docs: DataFrame, opts: FieldOptions = FieldOptions()) -> SkipChainField:
     top = ranks.agg(F.max("key")).first()[0]
     if top is None:
         return SkipChainField.train([], opts)
-    sample = some.where(key <= top).limit(opts.max_documents * 2).mapInPandas(windows, "window string")
-    got = sorted({r.window for r in sample.collect()})
-    return SkipChainField.train([nodes_of(t, base_spans(t)) for t in got], opts)
+    sample = some.where(key <= top).limit(opts.max_documents * 2).mapInPandas(nodes, "nodes binary")
+    got = sorted({bytes(r.nodes) for r in sample.collect()})
+    return SkipChainField.train([_unpacked(n) for n in got], opts)
 
 
 _FOUND = "struct<base:array<struct<kind:string,start:long,end:long>>,spans:array<struct<kind:string,start:long,end:long>>>"

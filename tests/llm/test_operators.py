@@ -287,6 +287,25 @@ def test_field_keeps_base_spans_and_adds_distant_repeats(spark):
     assert np.allclose(belief[1], joint.sum(axis=0) / joint.sum(), atol=1e-6)
 
 
+def test_repeats_behind_plain_words_are_added(spark):
+    rng = random.Random(15)
+    rows, more = [], {}
+    for i in range(160):
+        area, line = rng.randint(200, 999), rng.randint(1000, 9999)
+        clear, compact = f"+1 ({area}) 555-{line}", f"{area}555{line}"
+        first, last = (clear, compact) if i % 2 else (compact, clear)
+        text = f"call {first} today or the same at {last} then"
+        rows.append((i, text if i < 40 else f"call {clear} today with order {rng.randint(10**9, 10**10 - 1)} then"))
+        more[i] = i < 40 and f"phone:{text.index(compact)}:{text.index(compact) + 10}"
+    got = {r.doc_id: r.spans.split(",") for r in pii.digest(docs_of(spark, rows)).collect()}
+    assert all(len(s) == 2 and more[i] in s if more[i] else len(s) == 1 for i, s in got.items())
+    assert pii.nodes_of("x 4711 and 4711", []).skip == [(0, 1)] and pii.nodes_of("x 4711 4711", []).skip == []
+    text = "mail a1@b.example.org and 1234567 or 1234567, so"
+    nodes = pii.nodes_of(text, pii.base_spans(text))
+    back = pii._unpacked(pii._packed(nodes))
+    assert [back.features, back.chain, back.skip, back.labels, back.tied] == [nodes.features, nodes.chain, nodes.skip, nodes.labels, nodes.tied]
+
+
 def labelled(spark, bad, good, n=400):
     rows = [(i, (bad if i % 4 == 0 else good)(i)) for i in range(n)]
     labels = spark.createDataFrame([(i, int(i % 4 != 0), int(i % 4 == 0)) for i in range(n)], "doc_id long, quality int, toxic int")
