@@ -5,17 +5,19 @@ each weighted ``decay`` per character of gap; k(s, t) is the cosine of two words
 between cost weight but do not hide a word, punctuation inside a word is left out, digits and signs
 that stand for letters are read as them, and a run of single letters is read as one word.
 
-Landmarks are words of the training sample that go with toxic documents. A sentence has, per
+Landmarks are words of the training sample that go with toxic texts: their rate in distinct toxic texts
+is over three times that in clean ones, beyond chance at any share of toxic texts. A sentence has, per
 landmark, the largest kernel value of its words; multiplied by the inverse root of the landmarks'
 kernel matrix that is the Nystroem map, on which a linear machine is trained. A document is labelled,
 its sentences are not, so a toxic document stands for its most toxic sentence (chosen anew in each
 round) and a clean one for all its sentences. The document's score is the largest margin, put through
 a logistic curve fitted on the sample.
 
-Fitting uses at most ``max_labelled`` labelled rows, chosen by a hash of the id. Scoring reads whole texts.
+Fitting uses at most ``max_labelled`` labelled rows, chosen by a hash of the id; copies of a text with
+the same label count once. Scoring reads whole texts.
 
 Defined results: null and empty texts have the margin of a sentence without any landmark. Without
-labelled rows of both kinds the score is 0. Null labels are none; other columns pass through.
+labelled rows of both kinds the score is 0; where no word goes with toxic texts, it is their share. Null labels are none; other columns pass through.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ class KernelOptions:
     rounds: int = 3
     cost: float = 4.0
     threshold: float = 0.7
+    #: Likelihood ratio (chi square, one degree of freedom) that a landmark reaches: one word in a thousand by chance.
+    evidence: float = 10.83
 
 
 _SYMBOLS = 32
@@ -200,7 +204,10 @@ class Landmarks:
 
 @dataclass
 class SubsequenceSvm:
-    """Landmarks, weights on the Nystroem map, bias, and the logistic curve of the margins."""
+    """Landmarks, weights on the Nystroem map, bias, and the logistic curve of the margins.
+
+    Without landmarks the bias is every text's score.
+    """
 
     landmarks: Landmarks | None
     weights: np.ndarray
@@ -216,7 +223,7 @@ class SubsequenceSvm:
 
     def scores(self, batch: list[str]) -> np.ndarray:
         if self.landmarks is None:
-            return np.zeros(len(batch))
+            return np.full(len(batch), self.bias)
         slope, shift = self.curve
         return 1 / (1 + np.exp(-np.clip(slope * self.margins(batch) + shift, -30, 30)))
 
@@ -263,8 +270,16 @@ def logistic_curve(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 0.1), float(w[1])
 
 
+def _distinct(sample: DataFrame) -> DataFrame:
+    return sample.select("text", "y").distinct()
+
+
 def landmark_words(sample: DataFrame, opts: KernelOptions) -> list[str]:
-    """The words that stand in toxic documents far more often than in clean ones, strongest first."""
+    """The words that stand in toxic texts far more often than in clean ones, strongest evidence first.
+
+    Distinct texts are counted, so a copied text does not push its words up.
+    """
+    sample = _distinct(sample)
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames):
@@ -277,9 +292,17 @@ def landmark_words(sample: DataFrame, opts: KernelOptions) -> list[str]:
         F.sum("y").alias("toxic"), F.count(F.lit(1)).alias("n")
     )
     n, n_toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    prior = F.lit(float(n_toxic + 1) / (n + 2))
-    lift = F.col("toxic") - 3 * prior * F.col("n")
-    best = counts.where(lift > 2).orderBy(lift.desc(), "word").limit(opts.landmarks)
+    n_clean = n - n_toxic
+    if not n_toxic or not n_clean:
+        return []
+    toxic, clean = F.col("toxic"), F.col("n") - F.col("toxic")
+
+    def part(seen, share):
+        return F.when(seen > 0, 2 * seen * F.log(seen / (F.col("n") * F.lit(share)))).otherwise(0.0)
+
+    counts = counts.withColumn("evidence", part(toxic, n_toxic / n) + part(clean, n_clean / n))
+    often = (toxic * F.lit(float(n_clean)) > 3 * clean * F.lit(float(n_toxic))) & (F.col("evidence") >= opts.evidence)
+    best = counts.where(often).orderBy(F.desc("evidence"), "word").limit(opts.landmarks)
     return [r.word for r in best.collect()]
 
 
@@ -287,7 +310,8 @@ def fit(docs: DataFrame, labels: DataFrame, opts: KernelOptions = KernelOptions(
     sample = written(labelled_sample(docs, labels, "toxic", opts.max_labelled), "toxic-sample")
     words = landmark_words(sample, opts)
     if not words:
-        return SubsequenceSvm(None, np.zeros(0), 0.0, (1.0, 0.0))
+        n, n_toxic = _distinct(sample).agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
+        return SubsequenceSvm(None, np.zeros(0), n_toxic / n if 0 < n_toxic < n else 0.0, (1.0, 0.0))
     held = docs.sparkSession.sparkContext.broadcast(Landmarks(words, opts))
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -301,10 +325,17 @@ def fit(docs: DataFrame, labels: DataFrame, opts: KernelOptions = KernelOptions(
             own = np.concatenate([np.arange(len(frame)), owner])
             data = [b""] * len(frame) + [r.tobytes() for r in found]
             yield pd.DataFrame(
-                {"doc_id": frame.doc_id.to_numpy()[own], "y": frame.y.to_numpy()[own], "row": data}
+                {
+                    "doc_id": frame.doc_id.to_numpy()[own], "y": frame.y.to_numpy()[own], "row": data,
+                    "mark": frame["mark"].to_numpy()[own],
+                }
             )
 
-    got = sample.mapInPandas(rows, "doc_id long, y int, row binary").orderBy("doc_id", "y", "row").collect()
+    marked = sample.withColumn("mark", F.xxhash64("text"))
+    got = marked.mapInPandas(rows, "doc_id long, y int, row binary, mark long").orderBy("doc_id", "y", "row").collect()
+    # The first of the copies of a text stands for all.
+    first_of: dict[tuple[int, int], int] = {}
+    got = [r for r in got if first_of.setdefault((r.mark, r.y), r.doc_id) == r.doc_id]
     width = len(words)
     x = np.array([np.frombuffer(r.row, dtype=np.float32) if r.row else np.zeros(width, np.float32) for r in got])
     doc = np.unique([r.doc_id for r in got], return_inverse=True)[1]
@@ -313,7 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame, opts: KernelOptions = KernelOptions(
         return SubsequenceSvm(None, np.zeros(0), 0.0, (1.0, 0.0))
     root = held.value.root
     mapped = x.astype(np.float64) @ root
-    margin = x.sum(axis=1).astype(np.float64)
+    margin = x.sum(axis=1).astype(np.float64).round(4)  # rounding noise does not choose among equal sentences
     for _ in range(opts.rounds):
         order = np.lexsort((-margin, doc))
         top = order[np.flatnonzero(np.diff(doc[order], prepend=-1))]  # the most toxic sentence of each document

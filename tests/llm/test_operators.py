@@ -327,6 +327,24 @@ def test_toxic_words_are_found_with_letters_put_in(spark):
     assert min(score[1000], score[1001], score[1002]) >= 0.7 > score[1003]
 
 
+def test_insults_are_found_at_any_share_and_beside_copies(spark):
+    rng = random.Random(16)
+    plain = ["".join(rng.choices("aeioultrn", k=rng.randint(2, 9))) for _ in range(300)]
+    insults = ["grubbox", "snivpark", "muckwhif"]
+    clean = [" ".join(rng.choices(plain, k=31)) for _ in range(160)]
+    toxic = [" ".join(rng.choices(plain, k=30) + [insults[i % 3]]) for i in range(160)]
+    copied = "zebrafish " + " ".join(f"calm{chr(97 + k % 26)}{chr(97 + k // 26)}word" for k in range(250)) + " vilegrot"
+    for bad, good, shown in ((toxic, clean, "half"), (toxic[:40] + [copied] * 100, clean, "copies")):
+        rows = list(enumerate(bad + good))
+        labels = spark.createDataFrame([(i, 0.5, int(i < len(bad))) for i, _ in rows], "doc_id long, quality double, toxic int")
+        extra = [(1000 + k, f"you {w} there") for k, w in enumerate(insults)] + [(1003, "good zebrafish to all calmaaword")]
+        out = toxicity.scored(docs_of(spark, rows + extra), labels).where("doc_id >= 1000").collect()
+        score = {r.doc_id: r.toxic_score for r in out}
+        assert min(score[1000], score[1001], score[1002]) >= 0.7 > score[1003], shown
+    none = spark.createDataFrame([(i, 0.5, i % 2) for i in range(8)], "doc_id long, quality double, toxic int")
+    assert all(0 < r.toxic_score < 1 for r in toxicity.scored(docs_of(spark, [(i, "alike") for i in range(8)]), none).collect())
+
+
 def test_kernel_pruning_loses_nothing():
     rng = random.Random(7)
     found = ["".join(rng.choices("abcde", k=rng.randint(1, 9))) for _ in range(300)]
