@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import offsets, slices, texts
+from tabwright.sources.scratch import written
 
 SCHEMA = "doc_id long, item_id long, bm25_share double, question_overlap double, answer_overlap double"
 
@@ -37,7 +38,7 @@ SCHEMA = "doc_id long, item_id long, bm25_share double, question_overlap double,
 class Bm25Options:
     k1: float = 1.2
     b: float = 0.75
-    recall_share: float = 0.5
+    recall_share: float = 0.4
     min_overlap: float = 0.8
     shingle: int = 5
     block_items: int = 2
@@ -62,21 +63,39 @@ def shingles(tokens: list, size: int) -> set[tuple]:
     return {tuple(tokens[i : i + size]) for i in range(max(1, len(tokens) - size + 1))}
 
 
+@dataclass(frozen=True)
+class ItemStats:
+    """What the weights take from all items: their number, words in all, and items per word."""
+
+    n: int
+    n_words: int
+    df: dict[bytes, int]
+
+
+def item_stats(items: list[tuple[int, list[bytes]]]) -> ItemStats:
+    return ItemStats(len(items), sum(len(w) for _, w in items), Counter(t for _, w in items for t in set(w)))
+
+
 @dataclass
 class BlockIndex:
-    """Inverted index of test items: weights are shares of the item's threshold, so 1 retrieves."""
+    """Inverted index of test items: weights are shares of the item's threshold, so 1 retrieves.
+
+    ``stats`` are those of all items where these are a part of them; ``df`` needs the words of these only.
+    """
 
     items: list[tuple[int, list[bytes]]]
     opts: Bm25Options = field(default_factory=Bm25Options)
+    stats: ItemStats | None = None
 
     def __post_init__(self) -> None:
         o = self.opts
         self.items = [(i, w) for i, w in self.items if w]
         n = len(self.items)
-        df = Counter(t for _, w in self.items for t in set(w))
-        self.vocab = {t: k for k, t in enumerate(df)}
-        idf = {t: np.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in df.items()}
-        mean = sum(len(w) for _, w in self.items) / max(n, 1)
+        own = item_stats(self.items)
+        whole = self.stats or own
+        self.vocab = {t: k for k, t in enumerate(own.df)}
+        idf = {t: np.log(1 + (whole.n - whole.df[t] + 0.5) / (whole.df[t] + 0.5)) for t in own.df}
+        mean = whole.n_words / max(whole.n, 1)
         weights = []
         for _, w in self.items:
             norm = o.k1 * (1 - o.b + o.b * len(w) / mean)
@@ -87,7 +106,7 @@ class BlockIndex:
         order = sorted(range(n), key=lambda i: sorted(weights[i], key=weights[i].get)[0])
         self.items, self.weights = [self.items[i] for i in order], [weights[i] for i in order]
         self.n_blocks = -(-n // o.block_items)
-        common = np.array([df[t] > max(2, 0.02 * n) for t in self.vocab], dtype=bool)
+        common = np.array([own.df[t] > max(2, 0.02 * n) for t in self.vocab], dtype=bool)
         self.cheap = np.zeros(self.n_blocks)
         best: dict[tuple[int, int], float] = defaultdict(float)
         for i, w in enumerate(self.weights):
@@ -173,13 +192,38 @@ def shingle_sets(tokens: list[bytes], halves: tuple[set, set], size: int) -> lis
 
 
 def _shards(items: DataFrame, opts: Bm25Options) -> Iterator:
-    """Broadcast lists of (item_id, words), each of bounded text size."""
+    """Broadcast pairs of a list of (item_id, words), of bounded text size, and the counts of its words over all items."""
     usable = items.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = usable.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-size // opts.index_bytes))
+    send = items.sparkSession.sparkContext.broadcast
+
+    def listed(part: DataFrame) -> list[tuple[int, list[bytes]]]:
+        return [(r.item_id, w) for r in part.collect() if (w := plain_words(r.text))]
+
+    if n == 1:
+        held = listed(usable)
+        yield send((held, item_stats(held)))
+        return
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in slices(frames):
+            stats = item_stats([(0, w) for t in frame.text if (w := plain_words(t))])
+            # The empty word stands for the items themselves: their number and their words.
+            yield pd.DataFrame(
+                {"word": [b"", *stats.df], "n": [stats.n, *stats.df.values()], "n_words": [stats.n_words] + [0] * len(stats.df)}
+            )
+
+    counts = usable.select("text").mapInPandas(count, "word binary, n long, n_words long").groupBy("word")
+    counts = written(counts.agg(F.sum("n").alias("n"), F.sum("n_words").alias("n_words")), "item-words")
+    whole = counts.where(F.length("word") == 0).first()
     for shard in range(n):
         part = usable.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == shard)
-        yield items.sparkSession.sparkContext.broadcast([(r.item_id, plain_words(r.text)) for r in part.collect()])
+        held = listed(part)
+        # Only the words of this part are needed, whose size is bounded.
+        mine = part.select("text").mapInPandas(count, "word binary, n long, n_words long").select("word").distinct()
+        df = {bytes(r.word): r.n for r in counts.where(F.length("word") > 0).join(mine, "word").select("word", "n").collect()}
+        yield send((held, ItemStats(whole.n if whole else 0, whole.n_words if whole else 0, df)))
 
 
 def retrieved(docs: DataFrame, items: DataFrame, opts: Bm25Options = Bm25Options()) -> DataFrame:
@@ -193,7 +237,7 @@ def retrieved(docs: DataFrame, items: DataFrame, opts: Bm25Options = Bm25Options
     for held in _shards(items, opts):
 
         def search(frames: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            index = BlockIndex(held.value, opts)
+            index = BlockIndex(held.value[0], opts, held.value[1])
             for frame in slices(frames) if index.items else ():
                 ids = [None if pd.isna(i) else int(i) for i in frame.doc_id]
                 rows = list(index.query(ids, texts(frame)))
@@ -217,7 +261,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, opts: Bm25Options = Bm25Opt
     for held in _shards(items, opts):
 
         def keep(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = BlockIndex(held.value, opts)
+            index = BlockIndex(held.value[0], opts, held.value[1])
             for batch in batches:
                 frame = pd.DataFrame({"text": batch.column("text").to_pylist()}, dtype=object)
                 bad: set[int] = set()

@@ -244,6 +244,37 @@ def test_leaks_match_plain_search(spark):
     assert sorted(r.doc_id for r in clean.collect() if r.doc_id is not None and r.doc_id > 8) == [i for i in range(9, 80) if i not in bad]
 
 
+def test_leaks_of_templated_items_in_several_indexes(spark):
+    rng = random.Random(17)
+    common = [f"t{k}" for k in range(30)]
+    items = []
+    for k in range(90):
+        w = common[:8] + [f"rare{k}", f"odd{k % 40}", f"more{k % 45}"] + common[8:22] + [f"last{k}x{j}" for j in range(3)] + common[22:]
+        items.append((k, " ".join(w)))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    docs = []
+    for k, text in items:
+        w = text.split()
+        w[-11:-8] = ["gone", "gone", "gone"] if k % 2 else w[-11:-8]
+        docs.append((k, " ".join(rng.choices(common, k=40) + w + rng.choices(common, k=40))))
+    whole = decontaminate.Bm25Options(min_overlap=0.3)
+    parts = decontaminate.Bm25Options(min_overlap=0.3, index_bytes=3000)
+    got = [
+        {(r.doc_id, r.item_id): round(r.bm25_share, 9) for r in decontaminate.retrieved(docs_of(spark, docs), frame, o).collect()}
+        for o in (whole, parts)
+    ]
+    assert got[0] == got[1] and min(got[0].values()) < 0.5
+    plain = [(k, decontaminate.plain_words(t)) for k, t in items]
+    stats, o = decontaminate.item_stats(plain), whole
+    idf = {t: np.log(1 + (stats.n - c + 0.5) / (c + 0.5)) for t, c in stats.df.items()}
+    for k, w in plain:
+        norm = o.k1 * (1 - o.b + o.b * len(w) * stats.n / stats.n_words)
+        raw = {t: idf[t] * w.count(t) * (o.k1 + 1) / (w.count(t) + norm) for t in set(w)}
+        for i, text in docs:
+            share = sum(v for t, v in raw.items() if t in set(decontaminate.plain_words(text))) / sum(raw.values())
+            assert (share >= 0.4) == ((i, k) in got[0]), (i, k, share)
+
+
 def test_base_patterns():
     text = "x a.b@c-d.org, 1.2.3.4, 999.1.1.1, 4111 1111 1111 1111, 4111111111111112, +1 (988) 555-2485 q@r"
     found = [(k, text[s:e]) for k, s, e in pii.base_spans(text)]
