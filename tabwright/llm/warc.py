@@ -12,6 +12,10 @@ for the next member or version line that is valid, goes on there, and logs the b
 (start, end, reason). So one bad byte costs one record. Nothing is dropped unseen: records, gaps
 and padding cover the file.
 
+A member of several records is searched in the same way in its decompressed bytes; the gap then has the
+member's offsets and its reason the lost bytes of the content. Of a cut or damaged member only records with a
+right digest are kept, and none if the checksum fails and every digest is right: the damage may be in any header.
+
 Defined results: a null payload is empty, a null url leaves the target out, a null page id is written
 as ``null``. Rows that repeat a page id each get a record; if the largest page id is repeated, all its
 rows are responses. Further columns are ignored. An empty table gives no archive record.
@@ -24,7 +28,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -133,11 +137,18 @@ def write_archives(pages: DataFrame, path: str, opts: WarcOptions = WarcOptions(
 
 
 class BadRecord(ValueError):
-    pass
+    """The failed check; of a damaged member also its sound records and where decompression stopped."""
+
+    def __init__(self, why: str, found: list[dict] = (), stop: int = 0):
+        super().__init__(why)
+        self.found, self.stop = found, stop
+
 
+def parse_record(data: bytes, pos: int, digest: bool = False) -> tuple[int, dict]:
+    """The plain record at ``pos``: (its end, its fields). Raises BadRecord with the failed check.
 
-def parse_record(data: bytes, pos: int) -> tuple[int, dict]:
-    """The plain record at ``pos``: (its end, its fields). Raises BadRecord with the failed check."""
+    ``digest``: a record without a digest of its own bytes fails too.
+    """
     start = _VERSION.match(data, pos)
     if not start:
         raise BadRecord("version")
@@ -163,6 +174,8 @@ def parse_record(data: bytes, pos: int) -> tuple[int, dict]:
     want = _hex(head.get("warc-block-digest"))
     if want and hashlib.sha1(block).hexdigest() != want:
         raise BadRecord("block digest")
+    if digest and not want and (not _hex(head.get("warc-payload-digest")) or head.get("warc-type") == "revisit"):
+        raise BadRecord("no digest")
     return tail.end(), _fields(head, block)
 
 
@@ -190,50 +203,89 @@ def _fields(head: dict[str, str], block: bytes) -> dict:
     }
 
 
-def _unit(data: bytes, pos: int) -> tuple[int, list[dict]]:
-    """The gzip member or plain record at ``pos``: its end and its records (a member may hold several)."""
+def _inflated(data: bytes, pos: int) -> tuple[bytes, int, str]:
+    """Content of the gzip member at ``pos``, as far as it goes, its end, and what is wrong with it."""
+    opened, out, at = zlib.decompressobj(31), [], pos
+    try:
+        # In pieces: what follows the member in the last one is copied by each call.
+        while at < len(data) and not opened.eof:
+            out.append(opened.decompress(data[at : at + 65_536]))
+            at += 65_536
+        return b"".join(out), min(at, len(data)) - len(opened.unused_data), "" if opened.eof else "truncated"
+    except zlib.error:
+        pass
+    # Again in small pieces, the failing one byte by byte: a call that fails returns nothing.
+    opened, out, at = zlib.decompressobj(31), [], pos
+    while at < len(data):
+        before = opened.copy()
+        try:
+            out.append(opened.decompress(data[at : at + 4096]))
+            at += 4096
+        except zlib.error:
+            break
+    for at in range(at, min(at + 4096, len(data))):
+        try:
+            out.append(before.decompress(data[at : at + 1]))
+        except zlib.error:
+            break
+    return b"".join(out), at, "member"
+
+
+def _unit(data: bytes, pos: int) -> tuple[int, list[tuple[str | None, dict]]]:
+    """The gzip member or plain record at ``pos``: its end, its records and the gaps between (a member may hold several)."""
     if not data.startswith(GZIP, pos):
         end, fields = parse_record(data, pos)
-        return end, [fields]
-    opened = zlib.decompressobj(31)
-    try:
-        inner = opened.decompress(memoryview(data)[pos:])
-    except zlib.error as err:
-        raise BadRecord("member") from err
-    if not opened.eof:
-        raise BadRecord("truncated")
-    found, at = [], 0
-    while at < len(inner):
-        at, fields = parse_record(inner, at)
-        found.append(fields)
-    return len(data) - len(opened.unused_data), found
+        return end, [(None, fields)]
+    inner, end, wrong = _inflated(data, pos)
 
+    def plain(content: bytes, at: int) -> tuple[int, list[tuple[str | None, dict]]]:
+        after, fields = parse_record(content, at, digest=bool(wrong))
+        return after, [(None, fields)]
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict]]:
-    """(start, end, None, record) and (start, end, reason, {}) for gaps, in file order."""
-    pos, gap, why = 0, None, ""
+    found = list(_salvaged(inner, plain, _VERSION))
+    records = [fields for *_, gap, fields in found if gap is None]
+    if not wrong and (records or not found):
+        return end, [(f"{gap} in content bytes {start}-{stop}" if gap else None, fields) for start, stop, gap, fields in found]
+    if len(records) == len(found):  # a cut spoils the last record at least, a wrong checksum any
+        records = records[:-1] if wrong == "truncated" else []
+    raise BadRecord(wrong if wrong else found[0][2], records, end)
+
+
+def _salvaged(data: bytes, unit: Callable, starts: re.Pattern) -> Iterator[tuple[int, int, str | None, dict]]:
+    pos, gap, why, stop = 0, None, "", 0
     while pos < len(data):
         if gap is None and data[pos] == 0:
             pos += 1
             continue
         try:
-            end, found = _unit(data, pos)
+            end, found = unit(data, pos)
         except BadRecord as err:
             if gap is None:
                 gap, why = pos, str(err)
-            following = _START.search(data, pos + 1)
+            for fields in err.found:
+                yield pos, err.stop, None, fields
+            # Plain records inside what was decompressed are those just given.
+            stop = max(stop, err.stop if err.found else 0)
+            following = starts.search(data, pos + 1)
+            while following and following.start() < stop and not data.startswith(GZIP, following.start()):
+                following = starts.search(data, following.start() + 1)
             pos = following.start() if following else len(data)
             continue
         if gap is not None:
             yield gap, pos, why, {}
             gap = None
-        for fields in found:
-            yield pos, end, None, fields
+        for inside, fields in found:
+            yield pos, end, inside, fields
         pos = end
     if gap is not None:
         yield gap, len(data), why, {}
 
 
+def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict]]:
+    """(start, end, None, record) and (start, end, reason, {}) for gaps, in file order."""
+    return _salvaged(data, _unit, _START)
+
+
 def read_archives(spark: SparkSession, path: str, opts: WarcOptions = WarcOptions()) -> DataFrame:
     """Rows of RECORD_SCHEMA: records (``gap`` null) and quarantined gaps (only file, offsets and ``gap``).
 

@@ -58,6 +58,29 @@ def test_salvage_goes_on_after_damage(packed):
     assert len([1 for *_, gap, f in cut if gap is None]) == 5 and cut[-1][2]
 
 
+def test_salvage_inside_a_member_of_several_records():
+    records = [warc.record_bytes(i, "u", random.Random(i).randbytes(3000), None) for i in range(6)]
+
+    def ids(data):
+        got = list(warc.salvage(data))
+        return [int(f["record_id"].split(":")[2]) for *_, gap, f in got if gap is None], [g for *_, g, _ in got if g]
+
+    spoilt = bytearray(b"".join(records))
+    start = len(records[0]) + len(records[1])
+    spoilt[start + len(records[2]) - 100] ^= 0xFF
+    found, gaps = ids(gzip.compress(bytes(spoilt), 6))
+    assert found == [0, 1, 3, 4, 5] and len(gaps) == 1 and f"{start}-{start + len(records[2])}" in gaps[0]
+    whole, after = gzip.compress(b"".join(records), 6), warc.member(warc.record_bytes(9, "u", b"x", None))
+    found, gaps = ids(whole[: len(whole) // 2])
+    assert found == [0, 1] and len(gaps) == 1
+    for level in (0, 6):  # stored blocks show plain records, which must not come twice
+        damaged = bytearray(gzip.compress(b"".join(records), level))
+        damaged[len(damaged) * 7 // 12] ^= 0xFF
+        found, gaps = ids(bytes(damaged) + after)
+        assert found[:3] == [0, 1, 2] and 3 not in found and found[-1] == 9 and len(found) == len(set(found)) and gaps
+    assert ids(whole + after) == ([0, 1, 2, 3, 4, 5, 9], [])
+
+
 def test_members_are_plain_gzip():
     record = warc.record_bytes(1, "u", b"x" * 2000, None)
     assert gzip.decompress(warc.member(record) + b"\0\0" + warc.member(record)) == record * 2
