@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontaminate, fingerprint, maxent, neardup, packing, pii, quality, token_counts, toxicity, warc
+from tabwright.llm import (
+    decontaminate, divergence, fingerprint, maxent, merkle, merkle_sql, neardup, packing, pieces, pii, quality, token_counts,
+    toxicity, warc,
+)
 from tabwright.llm.common import fold, table
 
 
@@ -68,11 +71,29 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, token_counts.VOCABULARY).drop("text"), token_counts.VOCABULARY)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_minhash, op3_token_counts, op4_toxicity, op5_pii, op6_fingerprints, op7_decontaminate,
-        op8_quality, op9_packing, op10_maxent,
+        op8_quality, op9_packing, op10_maxent, op11_pieces, op12_divergence, op13_merkle,
     )
 }
 
@@ -100,4 +121,28 @@ both_ways AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
 walk AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT walk.a, both_ways.b FROM walk JOIN both_ways ON walk.b = both_ways.a)
 SELECT s.doc_id, CAST(len(s.items) AS BIGINT) AS n_shingles, min(walk.b) AS component_id, min(walk.b) = s.doc_id AS kept
 FROM s JOIN walk ON walk.a = s.doc_id GROUP BY s.doc_id, s.items""",
+    "op12_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+c AS (SELECT t.lang, source, t.term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+  CAST(1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (coalesce(s.total, 0) + 2 * v) AS BIGINT) AS p,
+  CAST(1 + CAST(1000000000 AS HUGEINT) * (kept.n + 2) // (l.total + 2 * v) AS BIGINT) AS q
+  FROM g JOIN l USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+  LEFT JOIN s ON s.lang = g.lang AND s.source = g.source),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+items AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM items)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""",
+    "op13_merkle": merkle_sql.SQL,
 }

@@ -479,4 +479,4 @@ def test_stages_take_odd_and_empty_tables(spark, stage):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)] and set(queries.SQL) <= set(queries.QUERIES)
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)] and set(queries.SQL) <= set(queries.QUERIES)
