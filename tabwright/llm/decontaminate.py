@@ -10,21 +10,25 @@ essential part. Items stand in blocks; for each (window, block) the block's larg
 the block maxima of the essential terms seen bounds every score, and only pairs whose bound reaches
 the threshold are scored.
 
-Nulls and empty texts give no rows; an item without words is never leaked. Repeated rows of a
+Nulls and empty texts give no rows; an item of no or one word lacks a half and is never leaked. Repeated rows of a
 document give the same rows again; repeated items each get their own rows. Columns beside the id
 and the text are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +49,10 @@ class Bm25Options:
     least_window: int = 128
     #: Text bytes of the items that one index may hold; more items make more indexes.
     index_bytes: int = 32 << 20
+    #: Characters of documents that stand as words at a time; a longer text stands alone.
+    slice_chars: int = 1 << 20
+    #: Postings that are expanded at a time, a window at least.
+    posting_chunk: int = 1 << 19
 
 
 _PLAIN = bytes(
@@ -140,17 +148,25 @@ class BlockIndex:
         known = np.flatnonzero(ids >= 0)
         known = known[self.post_at[ids[known] + 1] > self.post_at[ids[known]]]
         first, last = np.searchsorted(known, starts), np.searchsorted(known, ends)
-        n_hits = last - first
-        window = np.repeat(np.arange(len(starts)), n_hits)
-        at = known[np.arange(n_hits.sum()) - np.repeat(offsets(n_hits)[:-1], n_hits) + np.repeat(first, n_hits)]
-        term = ids[at]
-        fan = self.post_at[term + 1] - self.post_at[term]
-        post = np.arange(fan.sum()) - np.repeat(offsets(fan)[:-1], fan) + np.repeat(self.post_at[term], fan)
-        key = np.repeat(window, fan) * self.n_blocks + self.post_block[post]
-        # Cheap sums stay below the threshold, so a block without an essential term is out.
-        pairs, at = np.unique(key, return_inverse=True)
-        bound = np.bincount(at, weights=self.post_most[post], minlength=len(pairs)) + self.cheap[pairs % self.n_blocks]
-        return pairs[bound >= 1 - 1e-9]
+        fan = self.post_at[ids[known] + 1] - self.post_at[ids[known]]
+        fan_at = offsets(fan)
+        # Windows are taken in runs whose postings fit a chunk.
+        n_postings = fan_at[last] - fan_at[first]
+        run = (np.cumsum(n_postings) - n_postings) // self.opts.posting_chunk
+        cuts = np.flatnonzero(np.diff(run)) + 1
+        out = [np.empty(0, dtype=np.int64)]
+        for lo, hi in zip([0, *cuts], [*cuts, len(starts)]):
+            n_hits = last[lo:hi] - first[lo:hi]
+            window = np.repeat(np.arange(lo, hi), n_hits)
+            hit = np.arange(n_hits.sum()) + np.repeat(first[lo:hi] - offsets(n_hits)[:-1], n_hits)
+            width = fan[hit]
+            post = np.arange(width.sum()) + np.repeat(self.post_at[ids[known[hit]]] - offsets(width)[:-1], width)
+            key = np.repeat(window, width) * self.n_blocks + self.post_block[post]
+            # Cheap sums stay below the threshold, so a block without an essential term is out.
+            pairs, at = np.unique(key, return_inverse=True)
+            bound = np.bincount(at, weights=self.post_most[post], minlength=len(pairs)) + self.cheap[pairs % self.n_blocks]
+            out.append(pairs[bound >= 1 - 1e-9])
+        return np.concatenate(out)
 
     def query(self, doc_ids: list, batch: list[str]) -> Iterator[tuple]:
         """Rows of SCHEMA; per document and item the window with the largest score."""
@@ -178,7 +194,7 @@ class BlockIndex:
                     continue
                 d = int(doc[w])
                 seen = shingle_sets(tokens[d][starts[w] - at[d] : ends[w] - at[d]], self.halves[i], self.opts.shingle)
-                q, a = (len(s & have) / len(s) if s else 1.0 for s, have in zip(self.halves[i], seen))
+                q, a = (len(s & have) / len(s) if s else 0.0 for s, have in zip(self.halves[i], seen))
                 row = (min(q, a), score * self.opts.recall_share, q, a)
                 found[d, i] = max(found.get((d, i), row), row)
         for (d, i), (_, share, q, a) in found.items():
@@ -191,12 +207,26 @@ def shingle_sets(tokens: list[bytes], halves: tuple[set, set], size: int) -> lis
     return [shingles(tokens, n) for n in lengths]
 
 
-def _shards(items: DataFrame, opts: Bm25Options) -> Iterator:
-    """Broadcast pairs of a list of (item_id, words), of bounded text size, and the counts of its words over all items."""
+_indexes: dict[str, BlockIndex] = {}
+
+
+def _built(key: str, held: Broadcast, opts: Bm25Options) -> BlockIndex:
+    """The index of a shard, built once per Python worker, which keeps one; ``key`` names the shard."""
+    if key not in _indexes:
+        _indexes.clear()
+        _indexes[key] = BlockIndex(held.value[0], opts, held.value[1])
+    return _indexes[key]
+
+
+def _shards(items: DataFrame, opts: Bm25Options) -> Iterator[Callable[[], BlockIndex]]:
+    """Indexes for tasks, each sent as a broadcast pair of a list of (item_id, words), of bounded text size, and the counts of its words over all items."""
     usable = items.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = usable.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-size // opts.index_bytes))
-    send = items.sparkSession.sparkContext.broadcast
+    broadcast = items.sparkSession.sparkContext.broadcast
+
+    def send(pair: tuple) -> Callable[[], BlockIndex]:
+        return partial(_built, uuid.uuid4().hex, broadcast(pair), opts)
 
     def listed(part: DataFrame) -> list[tuple[int, list[bytes]]]:
         return [(r.item_id, w) for r in part.collect() if (w := plain_words(r.text))]
@@ -234,11 +264,11 @@ def retrieved(docs: DataFrame, items: DataFrame, opts: Bm25Options = Bm25Options
     """
     queries = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text <> ''")
     out = None
-    for held in _shards(items, opts):
+    for shard in _shards(items, opts):
 
-        def search(frames: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            index = BlockIndex(held.value[0], opts, held.value[1])
-            for frame in slices(frames) if index.items else ():
+        def search(frames: Iterator[pd.DataFrame], shard=shard) -> Iterator[pd.DataFrame]:
+            index = shard()
+            for frame in slices(frames, chars=opts.slice_chars) if index.items else ():
                 ids = [None if pd.isna(i) else int(i) for i in frame.doc_id]
                 rows = list(index.query(ids, texts(frame)))
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype(
@@ -258,17 +288,21 @@ def leaks(docs: DataFrame, items: DataFrame, opts: Bm25Options = Bm25Options())
 
 def without_leaks(docs: DataFrame, items: DataFrame, opts: Bm25Options = Bm25Options()) -> DataFrame:
     """Documents without a leaked item, all columns kept; no shuffle, a null text is never leaked."""
-    for held in _shards(items, opts):
+    for shard in _shards(items, opts):
 
-        def keep(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = BlockIndex(held.value[0], opts, held.value[1])
+        def keep(batches: Iterator[pa.RecordBatch], shard=shard) -> Iterator[pa.RecordBatch]:
+            index = shard()
             for batch in batches:
-                frame = pd.DataFrame({"text": batch.column("text").to_pylist()}, dtype=object)
-                bad: set[int] = set()
-                for part in slices([frame]) if index.items else ():
-                    rows = index.query(part.index.tolist(), texts(part))
-                    bad |= {row[0] for row in rows if min(row[3], row[4]) >= opts.min_overlap}
-                yield batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], type=pa.bool_()))
+                sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                slot = (np.cumsum(sizes) - sizes) // opts.slice_chars
+                cuts = np.flatnonzero(np.diff(slot)) + 1
+                for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                    part = batch.slice(start, end - start)
+                    if index.items and part.num_rows:
+                        rows = index.query(list(range(end - start)), [t or "" for t in part.column("text").to_pylist()])
+                        bad = {row[0] for row in rows if min(row[3], row[4]) >= opts.min_overlap}
+                        part = part.filter(pa.array([i not in bad for i in range(end - start)], type=pa.bool_()))
+                    yield part
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs

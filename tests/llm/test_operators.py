@@ -480,3 +480,19 @@ def test_stages_take_odd_and_empty_tables(spark, stage):
 
 def test_every_operator_has_a_query():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)] and set(queries.SQL) <= set(queries.QUERIES)
+
+
+def test_postings_in_chunks_and_halves_of_short_items():
+    rng = random.Random(12)
+    vocab = [f"w{i}" for i in range(60)]
+    items = [(i, decontaminate.plain_words(" ".join(rng.choice(vocab) for _ in range(30)))) for i in range(40)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(900)) + " " + " ".join(w.decode() for w in items[i][1]) for i in range(20)]
+
+    def rows(**changed):
+        index = decontaminate.BlockIndex(items, decontaminate.Bm25Options(**changed))
+        return sorted(index.query(list(range(20)), texts))
+
+    assert rows() == rows(posting_chunk=1) == rows(posting_chunk=1000) and {(r[0], r[1]) for r in rows()} >= {(i, i) for i in range(20)}
+    lone = decontaminate.BlockIndex([(1, [b"hello"]), (2, [b"good", b"day"])])
+    got = {(r[0], r[1]): min(r[3:]) for r in lone.query([7, 8], ["she said hello to them", "a good day"])}
+    assert got.get((7, 1), 0.0) == 0.0 and got[8, 2] == 1.0
