@@ -218,7 +218,7 @@ FROM curve WHERE r = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
 UNION ALL SELECT DISTINCT label, NULL, 0.0, 0.0 FROM curve"""
 
 
-def _panel_sql(predictions: str, two_classes: bool) -> str:
+def sql_panel(predictions: str, two_classes: bool) -> str:
     area = "(SELECT {0} FROM areas WHERE label = 1)" if two_classes else "(SELECT avg({0}) FROM areas)"
     values = {
         "accuracy": "sum(tp) / sum(support)",
@@ -280,8 +280,8 @@ SQL = {
     "performance_lines": f"""WITH {_LINES_SQL}, {_COUNTS_SQL}, {_SCORED_SQL}, {_CURVE_SQL}
         SELECT label, {sql_round('precision')} AS precision, {sql_round('recall')} AS recall, {sql_round('auc')} AS auc
         FROM rates JOIN areas USING (label)""",
-    "metric_panel_lines": _panel_sql(_LINES_SQL, False),
-    "metric_panel_orders": _panel_sql(_ORDERS_SQL, True),
+    "metric_panel_lines": sql_panel(_LINES_SQL, False),
+    "metric_panel_orders": sql_panel(_ORDERS_SQL, True),
     "permutation_orders": _drops_sql() + f"SELECT feature, repeat, {sql_round('drop')} AS drop FROM drops",
     "importance_rank": _drops_sql()
     + f"""SELECT feature, {sql_round('avg(drop)')} AS mean, {sql_round('stddev_pop(drop)')} AS std,

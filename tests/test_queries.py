@@ -39,6 +39,7 @@ def test_stream_and_batch_score_every_line(spark):
     assert sorted(batch.collect()) == sorted(stream.collect())
 
 
-def test_search_beats_the_majority_class(spark):
-    row = QUERIES["refit_holdout"](spark, FOLDER).first()
+@pytest.mark.parametrize("name", ["refit_holdout", "mllib_holdout"])
+def test_search_beats_the_majority_class(spark, name):
+    row = QUERIES[name](spark, FOLDER).first()
     assert row.accuracy > 0.9 and row.f1_macro > 0.85
