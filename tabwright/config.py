@@ -22,7 +22,6 @@ class SchemaOptions:
     max_categorical: int = 10
     string_numbers: str = "reference"   # "promote": numeric strings win the tie
     int_is_float: bool = False          # native ints also count toward float
-    max_depth: int = 6
 
     def __post_init__(self):
         if self.string_numbers not in ("reference", "promote"):

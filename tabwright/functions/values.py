@@ -101,6 +101,17 @@ def variant_kinds(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(first).withColumns(second).withColumns(third).drop(*spent).withColumns(fourth)
 
 
+def scalar_kinds(df: DataFrame, columns: list[str]) -> DataFrame:
+    """:func:`variant_kinds` for columns without objects: the tag alone decides."""
+    known = F.create_map(*[F.lit(x) for pair in KIND_TYPES.items() for x in pair])
+    first = {f"{c}_kind": F.substring_index(F.schema_of_variant(c), "(", 1) for c in columns}
+    second = {
+        f"{c}_type": F.when(F.col(f"{c}_kind") != "VOID", F.coalesce(F.try_element_at(known, F.col(f"{c}_kind")), F.lit(UNKNOWN)))
+        for c in columns
+    }
+    return df.withColumns(first).withColumns(second).withColumnsRenamed({c: f"{c}_core" for c in columns})
+
+
 def variant_cell(name: str) -> Cell:
     """Cell of a VARIANT column after ``variant_kinds``; a broken wrapper holds its missing value."""
     vtype, kind, core = F.col(f"{name}_type"), F.col(f"{name}_kind"), F.col(f"{name}_core")

@@ -1,8 +1,9 @@
 """Documents and typed tables as one long table of observations.
 
 ``observations(pos, path, n_keys, vtype, text)`` holds one row per document and attribute.
-Flattening happens inside each row as array expressions, so it is a narrow step: no
-shuffle, and the VARIANT is dropped before anything is grouped.
+Where the attributes of documents lie is read from the data first (``operators.discovery``), at any
+depth; flattening then is one select of the paths found. It happens inside each row, so it is a narrow
+step: no shuffle, and the VARIANT is dropped before anything is grouped.
 """
 
 from __future__ import annotations
@@ -14,10 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.functions.paths import SEPARATOR, SKIPPED_KEY, col, join_path, key_lists, variant_at
-from tabwright.functions.values import UNKNOWN, Cell, as_object, column_type, typed_cell, variant_cell, variant_kinds, wrapper_key
+from tabwright.functions.values import (
+    FLOAT, INT, KIND_TYPES, MISSING_TEXT, UNKNOWN, Cell, as_object, column_type, scalar_kinds, typed_cell, variant_cell,
+    variant_kinds, wrapper_key,
+)
+from tabwright.operators.discovery import ANY, NUMBER, SCALAR, WRAPPED, Discovered, VariantLeaf, discover
 
 DOCUMENT = "doc"
-MAX_DEPTH = 6
+#: A select of more paths than this is slow to compile; such documents are opened level by level.
+WRITTEN_PATHS = 1000
 
 
 @dataclass(frozen=True)
@@ -117,7 +123,8 @@ def _open_level(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _variant_observations(df: DataFrame, position: Column, layout: Layout, max_depth: int) -> DataFrame:
+def _opened_observations(df: DataFrame, position: Column, layout: Layout, depth: int) -> DataFrame:
+    """Every object opened level by level: for documents with very many paths."""
     roots = [
         F.struct(F.lit(SEPARATOR.join(prefix)).alias("path"), F.lit(len(prefix)).alias("n_keys"), root.alias("value"))
         for prefix, root in layout.variants
@@ -125,15 +132,57 @@ def _variant_observations(df: DataFrame, position: Column, layout: Layout, max_d
     nodes = df.select(position.alias("pos"), F.inline(F.array(*roots)) if len(roots) > 1 else roots[0].alias("_root"))
     if len(roots) == 1:
         nodes = nodes.select("pos", "_root.*")
-    for _ in range(max_depth):
+    for _ in range(depth):
         nodes = _open_level(nodes)
     facts = variant_kinds(nodes, ["value"])
-    too_deep = F.raise_error(F.lit(f"document nested deeper than max_depth={max_depth}")).cast("string")
-    path = F.when(F.col("value_kind").startswith("OBJECT<"), too_deep).otherwise(F.col("path"))
     cell = variant_cell("value")
-    entry = F.struct(path.alias("path"), "n_keys", cell.vtype.alias("vtype"), cell.text.alias("text"))
+    entry = F.struct("path", "n_keys", cell.vtype.alias("vtype"), cell.text.alias("text"))
+    # An object without members at the last level is no value.
+    is_value = cell.vtype.isNotNull() & ~F.col("value_kind").startswith("OBJECT<")
     # Going through a generator keeps the type test behind the projection that computes it.
-    return facts.select("pos", F.inline(F.when(cell.vtype.isNotNull(), F.array(entry))))
+    return facts.select("pos", F.inline(F.when(is_value, F.array(entry))))
+
+
+def _entry(keys: tuple[str, ...], vtype: Column, text: Column) -> Column:
+    return F.struct(F.lit(SEPARATOR.join(keys)).alias("path"), F.lit(len(keys)).alias("n_keys"), vtype.alias("vtype"), text.alias("text"))
+
+
+def _selected_observations(df: DataFrame, position: Column, leaves: list[VariantLeaf], keep_unknown: bool) -> DataFrame:
+    """One select of the paths found; only values of changing type are looked at one by one."""
+    leaves = [leaf for leaf in leaves if keep_unknown or leaf.kind != UNKNOWN]
+    fetched = {f"_v{i}": leaf.read() for i, leaf in enumerate(leaves)}
+    rows = df.select(position.alias("pos"), *[value.alias(name) for name, value in fetched.items()])
+    rows = variant_kinds(rows, [f"_v{i}" for i, leaf in enumerate(leaves) if leaf.kind in (ANY, UNKNOWN)])
+    rows = scalar_kinds(rows, [f"_v{i}" for i, leaf in enumerate(leaves) if leaf.kind == SCALAR])
+    entries = []
+    for i, leaf in enumerate(leaves):
+        name = f"_v{i}"
+        if leaf.kind in (ANY, UNKNOWN):
+            cell = variant_cell(name)
+            # An object's values are attributes of their own.
+            entries.append(_entry(leaf.keys, F.when(~F.col(f"{name}_kind").startswith("OBJECT<"), cell.vtype), cell.text))
+        elif leaf.kind == SCALAR:
+            cell = variant_cell(name)
+            entries.append(_entry(leaf.keys, cell.vtype, cell.text))
+        elif leaf.kind == WRAPPED:
+            vtype = KIND_TYPES[leaf.wrapper]
+            text = F.try_variant_get(name, "$", "bigint" if vtype == INT else "double").cast("string")
+            text = F.coalesce(text, F.lit(MISSING_TEXT[vtype]))
+            entries.append(_entry(leaf.keys, F.when(F.col(name).isNotNull(), F.lit(vtype)), text))
+        elif leaf.kind == NUMBER:
+            whole = F.schema_of_variant(name) == "BIGINT"
+            number = F.when(whole, F.try_variant_get(name, "$", "bigint").cast("string")).otherwise(
+                F.try_variant_get(name, "$", "double").cast("string")
+            )
+            vtype = F.when(whole, F.lit(INT)).when(F.try_variant_get(name, "$", "double").isNotNull(), F.lit(FLOAT))
+            entries.append(_entry(leaf.keys, vtype, number))
+        else:
+            text = F.col(name).cast("string")
+            entries.append(_entry(leaf.keys, F.when(text.isNotNull(), F.lit(leaf.kind)), text))
+    if not entries:
+        empty = F.struct(F.lit("").alias("path"), F.lit(0).alias("n_keys"), F.lit(None).cast("string").alias("vtype"), F.lit("").alias("text"))
+        entries = [empty]
+    return rows.select("pos", F.inline(F.array(*entries))).where(F.col("vtype").isNotNull())
 
 
 def _typed_observations(df: DataFrame, position: Column, layout: Layout) -> DataFrame:
@@ -156,13 +205,15 @@ def observations(
     pos: str | None,
     skip: tuple[str, ...] = (),
     keep_unknown: bool = False,
-    max_depth: int = MAX_DEPTH,
+    found: Discovered | None = None,
+    written_paths: int = WRITTEN_PATHS,
 ) -> DataFrame:
     """One row per document and attribute, unsupported values dropped.
 
     ``pos`` is a numeric document order (it settles ties); it is not an attribute unless
     the caller wants it profiled too, then pass a copy under another name.  A table with
     both typed and VARIANT columns is read once per kind, each time only its columns.
+    ``found`` saves the pass that looks for the documents' paths.
     """
     layout = Layout(df.schema, (*skip, pos) if pos else skip)
     position = col(pos).cast("bigint") if pos else F.lit(None).cast("bigint")
@@ -170,7 +221,11 @@ def observations(
     if layout.leaves:
         parts.append(_typed_observations(df, position, layout))
     if layout.variants:
-        parts.append(_variant_observations(df, position, layout, max_depth))
+        found = found or discover(df, layout.variants)
+        if len(found.leaves) <= written_paths:
+            parts.append(_selected_observations(df, position, found.leaves, keep_unknown))
+        else:
+            parts.append(_opened_observations(df, position, layout, found.depth))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return rows if keep_unknown else rows.where(F.col("vtype") != UNKNOWN)
 

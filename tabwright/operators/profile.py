@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.numbers import finite_or_inf, is_int_text, text_to_double
 from tabwright.functions.values import LEARNING_TYPES, STRING
-from tabwright.operators.observe import MAX_DEPTH, Layout, observations
+from tabwright.operators.discovery import Discovered
+from tabwright.operators.observe import Layout, observations
 from tabwright.operators.ranking import bucket_count, value_buckets
 
 # Below this many documents a path cannot have more distinct values than an in-memory
@@ -67,10 +68,10 @@ def _fixed_type_freq(obs: DataFrame, fixed: dict[str, tuple[str, int]]) -> DataF
     )
 
 
-def freq_of(df: DataFrame, pos: str | None, max_depth: int = MAX_DEPTH) -> DataFrame:
+def freq_of(df: DataFrame, pos: str | None, found: Discovered | None = None) -> DataFrame:
     """Observations and value frequencies of a table in one pass."""
     layout = Layout(df.schema, (pos,) if pos else ())
-    return value_freq(observations(df, pos, max_depth=max_depth), layout.fixed_types())
+    return value_freq(observations(df, pos, found=found), layout.fixed_types())
 
 
 def _int_number() -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.numbers import FLOAT_TEXT, INT_TEXT
+from tabwright.sources.scratch import written
 
 PLACES = 6
 
@@ -107,7 +108,8 @@ def mixed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as JSON documents whose attributes change type with the order status.
 
     amount: number / whole-number text / number text; flag: boolean or text; when.at:
-    wrapped date or text; gap: absent, null or number; ident: wrapped long.
+    wrapped date or text; gap: absent, null or number; ident: wrapped long. The documents are
+    written once, as the raw documents of a stage are, so that later passes do not parse again.
     """
     orders = table(spark, sf_dir, "orders")
     iso = F.replace(F.col("o_orderdate").cast("string"), F.lit(" "), F.lit("T"))
@@ -134,7 +136,7 @@ def mixed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     text = F.when(F.col("o_orderstatus") == "O", is_open).when(F.col("o_orderstatus") == "F", is_final).otherwise(is_part)
-    return orders.select(F.col("o_orderkey").alias("pos"), F.try_parse_json(text).alias("doc"))
+    return written(orders.select(F.col("o_orderkey").alias("pos"), F.try_parse_json(text).alias("doc")), "mixed-orders")
 
 
 _MIXED = {

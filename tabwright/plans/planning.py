@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 from tabwright.config import EstimatorSpec
 from tabwright.operators.clean import Attribute, selected_attributes
-from tabwright.operators.observe import with_target
+from tabwright.operators.discovery import discover
+from tabwright.operators.observe import Layout, with_target
 from tabwright.operators.profile import freq_of, medians, profile
 from tabwright.operators.rules import attribute_plan, label_encoders
 from tabwright.sources.scratch import written
@@ -27,8 +28,11 @@ class Planned:
 
 def plan_table(kept: DataFrame, spec: EstimatorSpec) -> Planned:
     """Plan rows that already have a target; frequencies and plan are written once for all readers."""
-    n_docs = kept.count()
-    freq = written(freq_of(kept, spec.pos, spec.schema.max_depth), "value_freq")
+    layout = Layout(kept.schema, (spec.pos,) if spec.pos else ())
+    # The pass that looks for the documents' paths counts them, too.
+    found = discover(kept, layout.variants) if layout.variants else None
+    n_docs = found.n_rows if found else kept.count()
+    freq = written(freq_of(kept, spec.pos, found), "value_freq")
     profiled = profile(freq)
     plan = written(attribute_plan(profiled, medians(freq, n_docs), n_docs, spec), "plan")
     return Planned(n_docs, profiled, plan, label_encoders(freq, plan))

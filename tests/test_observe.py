@@ -1,9 +1,12 @@
 """P1-P5, F1-F3, F12, S1."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tabwright.functions.paths import key_lists
+from tabwright.operators.discovery import discover, parse_shape
 from tabwright.operators.observe import Layout, observations, with_target
 from tabwright.sources.documents import as_documents, parse_documents, readable, unreadable
 
@@ -77,11 +80,70 @@ def test_variant_and_map_columns_join_typed_ones(spark):
     assert seen(df) == {("s", "string", "a"), ("v.k.j", "int", "1"), ("m.q", "float", "2.5")}
 
 
-def test_too_deep_documents_fail_loudly(documents):
-    docs = documents([{"a": {"b": {"c": {"d": 1}}}}])
-    assert seen(docs, max_depth=4) == {("a.b.c.d", "int", "1")}
-    with pytest.raises(Exception, match="max_depth"):
-        observations(docs, "pos", max_depth=3).collect()
+def nested(depth, leaf):
+    for i in reversed(range(depth)):
+        leaf = {f"k{i}": leaf}
+    return leaf
+
+
+def test_documents_of_any_depth(documents):
+    docs = documents([nested(12, 1), nested(40, "x"), nested(3, {}), {"k0": 5}])
+    want = {(".".join(f"k{i}" for i in range(n)), t, v) for n, t, v in ((12, "int", "1"), (40, "string", "x"), (1, "int", "5"))}
+    assert seen(docs) == want == seen(docs, written_paths=0)
+
+
+def plain_leaves(value, keys=()):
+    """(path, text of the value) of the scalars of a document without wrappers, from the definition."""
+    if isinstance(value, dict):
+        return [x for k, v in value.items() if k != "_id" for x in plain_leaves(v, (*keys, k))]
+    return [] if value is None or isinstance(value, list) else [(".".join(keys), value)]
+
+
+def random_value(rng, depth):
+    kind = rng.randrange(10 if depth else 7)
+    if kind < 7:
+        return [1, 2.5, "x", True, None, [1, {"a": 2}], -3][kind]
+    keys = rng.sample(["a", "b c", "d.e", "_id", "q`r", "h>,: i", "é", 'q"u'], rng.randrange(4))
+    return {k: random_value(rng, depth - 1) for k in keys}
+
+
+def test_found_paths_equal_the_definition_and_the_opened_levels(documents):
+    rng = random.Random(7)
+    items = [{k: random_value(rng, 4) for k in ("a", "b c", "z")} for _ in range(300)] + [{}, [1], 7]
+    docs = documents(items)
+    rows = observations(docs, "pos").collect()
+    opened = observations(docs, "pos", written_paths=0).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, opened))
+    want = [(i, p, float(v) if not isinstance(v, str) else v) for i, d in enumerate(items) for p, v in plain_leaves(d)]
+    got = [(r.pos, r.path, r.text if r.vtype == "string" else float(r.text)) for r in rows]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert all((r.vtype == "int") == (not r.text.startswith("2")) for r in rows if r.vtype in ("int", "float"))
+    merged = observations(docs, "pos", found=discover(docs, [((), F.col("doc"))], few=1)).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, merged))
+    with_unknown = [sorted(map(str, observations(docs, "pos", keep_unknown=True, written_paths=n).collect())) for n in (0, 1000)]
+    assert with_unknown[0] == with_unknown[1] and len(with_unknown[0]) > len(rows)
+
+
+def test_wrappers_beside_objects_at_one_place(documents):
+    docs = documents([
+        {"a": {"$numberInt": "3"}}, {"a": {"$numberInt": "4", "b": 5}}, {"a": {"$numberInt": {"c": 1}, "$date": "x"}}, {"a": {}},
+        {"a": 7}, {"d": {"$date": {"$numberLong": "0"}}}, {"d": {"$date": "2020-01-01"}}, {"w": {"$numberLong": {"$numberInt": "1"}}},
+    ])
+    rows = sorted(map(str, observations(docs, "pos").collect()))
+    assert rows == sorted(map(str, observations(docs, "pos", written_paths=0).collect()))
+    assert rows == sorted(map(str, observations(docs, "pos", found=discover(docs, [((), F.col("doc"))], few=1)).collect()))
+    assert {("a", "int", "3"), ("a.$numberInt", "string", "4"), ("a.b", "int", "5"), ("a.$numberInt.c", "int", "1"), ("a", "int", "7")} <= seen(docs)
+
+
+def test_discovery_counts_and_parses_shapes(spark, documents):
+    docs = documents([{"a": {"b": 1}}, {"a": 2}, {"a": {"b": {"c": "x"}}}])
+    found, merged = (discover(docs, [((), F.col("doc"))], few=n) for n in (1000, 1))
+    assert found.n_rows == merged.n_rows == 3 and found.depth == merged.depth == 3
+    assert {(leaf.keys, leaf.kind) for leaf in found.leaves} == {(("a",), "any"), (("a", "b"), "any"), (("a", "b", "c"), "string")}
+    assert {leaf.keys for leaf in merged.leaves} == {leaf.keys for leaf in found.leaves}
+    assert discover(docs.where("false"), [((), F.col("doc"))]).leaves == []
+    shape = parse_shape("OBJECT<a: DECIMAL(3,1), `b``c: d`: ARRAY<OBJECT<x: VOID>>, e: OBJECT<>>")
+    assert [(k, m.tag, m.members) for k, m in shape.members.items()] == [("a", "DECIMAL", {}), ("b`c: d", "ARRAY", {}), ("e", "OBJECT", {})]
 
 
 def test_bad_json_is_set_aside(spark):
