@@ -6,6 +6,8 @@ else is an aggregation of that table, at most one row per distinct value.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,11 +16,10 @@ from tabwright.functions.numbers import finite_or_inf, is_int_text, text_to_doub
 from tabwright.functions.values import LEARNING_TYPES, STRING
 from tabwright.operators.discovery import Discovered
 from tabwright.operators.observe import Layout, observations
-from tabwright.operators.ranking import bucket_count, value_buckets
+from tabwright.sources.scratch import written
 
-# Below this many documents a path cannot have more distinct values than an in-memory
-# value map holds comfortably; above it medians are found by narrowing instead.
-MEDIAN_MAP_LIMIT = 1_000_000
+#: Ranges that a path's numbers are cut into before the one with the median is sorted.
+MEDIAN_RANGES = 64
 
 
 def value_freq(obs: DataFrame, fixed: dict[str, tuple[str, int]] | None = None) -> DataFrame:
@@ -109,44 +110,62 @@ def _is_floaty() -> Column:
     return F.col("number").isNotNull() | F.col("text").rlike(r"^\s*[+-]?[nN][aA][nN]\s*$")
 
 
-def medians(freq: DataFrame, n_docs: int) -> DataFrame:
-    """Exact medians of the int-parsable and the float-parsable texts per path."""
-    numbers = freq.where(F.col("number").isNotNull()).select("path", "number", "int_text", "n")
-    if n_docs <= MEDIAN_MAP_LIMIT:
-        return numbers.groupBy("path").agg(
-            F.percentile(_int_number(), 0.5, F.col("n")).alias("median_int"),
-            F.percentile("number", 0.5, F.col("n")).alias("median_float"),
-        )
-    n_paths = numbers.select("path").distinct().count()
-    ints = median_by_narrowing(numbers.where("int_text"), "median_int", n_paths)
-    floats = median_by_narrowing(numbers, "median_float", n_paths)
-    return floats.join(ints, "path", "left")
+def medians(freq: DataFrame) -> DataFrame:
+    """Exact medians of the int-parsable and the float-parsable texts per path.
+
+    One plan at every size, and no path in one task: a mergeable quantile sketch per path cuts its numbers
+    into ranges, the ranges are weighed (map-side combined), and only those that hold a middle rank
+    are sorted. Both medians share the ranges.
+    """
+    numbers = freq.where(F.col("number").isNotNull()).select(
+        "path", "number", "n", F.when(F.col("int_text"), F.col("n")).otherwise(0).alias("n_int")
+    )
+    return median_by_narrowing(numbers, {"median_int": "n_int", "median_float": "n"})
 
 
-def median_by_narrowing(numbers: DataFrame, out: str, n_paths: int | None = None) -> DataFrame:
-    """Exact weighted median per path without holding a path in one task.
+def _ranges(numbers: DataFrame) -> DataFrame:
+    """Add ``range``: place of the number between its path's cut points, at most MEDIAN_RANGES of them."""
+    cuts = F.array(*[F.lit(i / MEDIAN_RANGES) for i in range(1, MEDIAN_RANGES)])
+    finite = F.when(~F.isnan("number"), F.col("number"))
+    sketches = numbers.groupBy("path").agg(F.kll_sketch_agg_double(finite).alias("sketch"))
+    bounds = sketches.select("path", F.kll_sketch_get_quantile_double("sketch", cuts).alias("bounds"))
+    # Written, so that its size is known: Spark sends it to all tasks below its own threshold and joins by path above.
+    bounds = written(bounds, "median-bounds")
+    return numbers.join(bounds, "path").withColumn("range", F.size(F.filter("bounds", lambda b: b < F.col("number")))).drop("bounds")
 
-    Weigh value buckets (map-side combined), keep only the buckets that hold the middle
-    ranks, and sort just those.
+
+def median_by_narrowing(numbers: DataFrame, weights: dict[str, str]) -> DataFrame:
+    """Exact weighted medians per path of (path, number, weights); ``weights`` maps outputs to weight columns.
+
+    A path whose weights are all 0 has no median.
     """
-    same = numbers.groupBy("path", "number").agg(F.sum("n").alias("n"))
-    cut = value_buckets(same, ["path"], "number", bucket_count(numbers), n_paths)
-    weights = cut.groupBy("path", "bucket").agg(F.sum("n").alias("w"))
-    up_to = W.partitionBy("path").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    spans = weights.select(
-        "path",
-        "bucket",
-        (F.sum("w").over(up_to) - F.col("w")).alias("before"),
-        F.sum("w").over(up_to).alias("upto"),
-        F.sum("w").over(W.partitionBy("path")).alias("total"),
+    cut = _ranges(numbers)
+    totals = cut.groupBy("path", "range").agg(*[F.sum(w).alias(f"w_{out}") for out, w in weights.items()])
+    path = W.partitionBy("path")
+    so_far = path.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    spans = totals.select(
+        "path", "range",
+        *[F.coalesce(F.sum(f"w_{out}").over(so_far), F.lit(0)).alias(f"before_{out}") for out in weights],
+        *[F.sum(f"w_{out}").over(path).alias(f"all_{out}") for out in weights],
+        *[F.col(f"w_{out}") for out in weights],
     )
-    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
-    middle = spans.where((F.col("before") <= high) & (F.col("upto") > low))
-    inside = W.partitionBy("path", "bucket").orderBy("number").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = cut.join(middle, ["path", "bucket"]).withColumn("rank_end", F.col("before") + F.sum("n").over(inside))
-    start = F.col("rank_end") - F.col("n")
-    picked = placed.groupBy("path").agg(
-        F.max(F.when((start <= low) & (F.col("rank_end") > low), F.col("number"))).alias("lo"),
-        F.max(F.when((start <= high) & (F.col("rank_end") > high), F.col("number"))).alias("hi"),
-    )
-    return picked.select("path", ((F.col("lo") + F.col("hi")) / 2).alias(out))
+
+    def middle(out: str) -> tuple[Column, Column]:
+        return F.floor((F.col(f"all_{out}") - 1) / 2), F.floor(F.col(f"all_{out}") / 2)
+
+    def holds(out: str) -> Column:
+        low, high = middle(out)
+        before, here = F.col(f"before_{out}"), F.col(f"w_{out}")
+        return (here > 0) & (before <= high) & (before + here > low)
+
+    wanted = spans.where(reduce(Column.__or__, [holds(out) for out in weights]))
+    inside = W.partitionBy("path", "range").orderBy("number").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ends = [(F.col(f"before_{out}") + F.sum(w).over(inside)).alias(f"end_{out}") for out, w in weights.items()]
+    placed = cut.join(wanted, ["path", "range"]).select("*", *ends)
+    picks = []
+    for out, w in weights.items():
+        end, start = F.col(f"end_{out}"), F.col(f"end_{out}") - F.col(w)
+        for name, rank in zip(("lo", "hi"), middle(out)):
+            picks.append(F.max(F.when((start <= rank) & (end > rank), F.col("number"))).alias(f"{name}_{out}"))
+    picked = placed.groupBy("path").agg(*picks)
+    return picked.select("path", *[((F.col(f"lo_{out}") + F.col(f"hi_{out}")) / 2).alias(out) for out in weights])

@@ -14,6 +14,7 @@ from tabwright.plans.catalog.common import (
 )
 from tabwright.plans.planning import planned
 from tabwright.sources.documents import extended_json, parse_documents
+from tabwright.sources.scratch import written
 
 
 def _comparable(obs: DataFrame) -> DataFrame:
@@ -156,9 +157,9 @@ _N_PARTS = "SELECT count(*) FROM part"
 def median_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact medians and means of numbers and numeric texts."""
     parts = _sized_parts(spark, sf_dir)
-    freq = freq_of(parts, "p_partkey")
+    freq = written(freq_of(parts, "p_partkey"), "value_freq")
     means = profile(freq).select("path", "mean_int", "mean_float")
-    both = medians(freq, parts.count()).join(means, "path")
+    both = medians(freq).join(means, "path")
     return both.select("path", *[rounded(c, c) for c in ("median_int", "mean_int", "median_float", "mean_float")])
 
 

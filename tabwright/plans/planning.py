@@ -34,7 +34,7 @@ def plan_table(kept: DataFrame, spec: EstimatorSpec) -> Planned:
     n_docs = found.n_rows if found else kept.count()
     freq = written(freq_of(kept, spec.pos, found), "value_freq")
     profiled = profile(freq)
-    plan = written(attribute_plan(profiled, medians(freq, n_docs), n_docs, spec), "plan")
+    plan = written(attribute_plan(profiled, medians(freq), n_docs, spec), "plan")
     return Planned(n_docs, profiled, plan, label_encoders(freq, plan))
 
 

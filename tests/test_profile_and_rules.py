@@ -1,5 +1,6 @@
 """A2-A11, R1-R13, E1, E12, E13."""
 
+import random
 import statistics
 
 import pytest
@@ -8,7 +9,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tabwright.config import EstimatorSpec, SchemaOptions
-from tabwright.operators import profile as profiling
 from tabwright.operators.observe import observations, with_target
 from tabwright.operators.profile import freq_of, median_by_narrowing, medians, profile, value_freq
 from tabwright.operators.rules import (
@@ -22,7 +22,7 @@ def plan_of(docs, spec=SPEC):
     kept = with_target(docs, spec.target)
     n = kept.count()
     freq = freq_of(kept, "pos")
-    return freq, attribute_plan(profile(freq), medians(freq, n), n, spec)
+    return freq, attribute_plan(profile(freq), medians(freq), n, spec)
 
 
 def decisions(docs, spec=SPEC):
@@ -69,7 +69,7 @@ def test_fixed_type_frequencies_equal_the_general_ones(spark):
 def test_median_and_mean_by_form(documents):
     docs = documents([{"v": v} for v in ["1", 2, 2.5, "x", "4"]])
     freq = freq_of(docs, "pos")
-    row = medians(freq, 5).join(profile(freq), "path").first()
+    row = medians(freq).join(profile(freq), "path").first()
     assert (row.median_int, row.median_float) == (2.0, 2.25)
     assert row.mean_int == pytest.approx(7 / 3) and row.mean_float == pytest.approx(9.5 / 4)
 
@@ -81,16 +81,18 @@ def test_narrowed_median_is_exact(spark, rows):
     expected = {}
     for p, v, n in rows:
         expected.setdefault(p, []).extend([v] * n)
-    got = {r.path: r.m for r in median_by_narrowing(df, "m").collect()}
+    got = {r.path: r.m for r in median_by_narrowing(df, {"m": "n"}).collect()}
     assert got == {p: statistics.median(values) for p, values in expected.items()}
 
 
-def test_large_tables_use_the_narrowed_median(spark, monkeypatch):
-    df = spark.createDataFrame([(i, i * 7 % 101, float(i)) for i in range(101)], "pos long, a int, b double")
-    freq = freq_of(df, "pos")
-    small = sorted(medians(freq, 101).collect())
-    monkeypatch.setattr(profiling, "MEDIAN_MAP_LIMIT", 10)
-    assert sorted(medians(freq, 101).select("path", "median_int", "median_float").collect()) == small
+def test_both_medians_of_many_values_come_from_one_plan(spark):
+    rng = random.Random(3)
+    values = [rng.choice([rng.randint(-9, 9), rng.randint(-(10**6), 10**6), rng.random()]) for _ in range(3000)]
+    rows = [(i, str(v), float("inf") if i < 3 else v + 0.5) for i, v in enumerate(values)]
+    got = {r.path: r for r in medians(freq_of(spark.createDataFrame(rows, "pos long, a string, b double"), "pos")).collect()}
+    assert got["a"].median_int == statistics.median(v for v in values if isinstance(v, int))
+    assert got["a"].median_float == pytest.approx(statistics.median(values)) and got["b"].median_int is None
+    assert got["b"].median_float == pytest.approx(statistics.median([r[2] for r in rows]))
 
 
 def test_numeric_strings_stay_strings_unless_promoted(documents):
