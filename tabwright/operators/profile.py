@@ -1,7 +1,8 @@
 """Per-attribute statistics from the observations.
 
 One shuffle on (path, text) with map-side combining yields ``value_freq``; everything
-else is an aggregation of that table, at most one row per distinct value.
+else is an aggregation of that table, at most one row per distinct value. Long texts are grouped
+by a key of bounded size, and only the few that become a mode or a label are fetched (``with_texts``).
 """
 
 from __future__ import annotations
@@ -22,12 +23,60 @@ from tabwright.sources.scratch import written
 MEDIAN_RANGES = 64
 
 
+#: Characters up to which a text is its own key.
+KEY_CHARS = 64
+
+
+def text_key(text: Column) -> Column:
+    """A text, or the head and digest of a long one: same order as the texts where heads differ, at most 129 characters."""
+    long = F.concat(F.substring(text, 1, KEY_CHARS), F.lit("\u0001"), F.sha2(text, 256))
+    return F.when(F.length(text) > KEY_CHARS, long).otherwise(text)
+
+
+def is_long(key: Column | str) -> Column:
+    return F.length(key) > KEY_CHARS
+
+
+def long_texts(obs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(path, text key, full) of the wanted long keys: one more pass over the observations, few rows kept."""
+    wanted = written(keys.where(is_long("text")).distinct(), "long-keys")
+    if wanted.isEmpty():
+        return wanted.withColumn("full", F.lit(None).cast("string"))
+    texts = obs.where(F.length("text") > KEY_CHARS).select("path", F.col("text").alias("full"), text_key(F.col("text")).alias("text"))
+    return written(texts.join(wanted, ["path", "text"], "left_semi").groupBy("path", "text").agg(F.min("full").alias("full")), "long-texts")
+
+
+def with_texts(small: DataFrame, texts: DataFrame, columns: list[str]) -> DataFrame:
+    """Keys in ``columns`` of a table with ``path`` replaced by their texts."""
+    for c in columns:
+        found = texts.select("path", F.col("text").alias(c), F.col("full").alias("_full"))
+        small = small.join(found, ["path", c], "left").withColumn(c, F.coalesce("_full", c)).drop("_full").select(*small.columns)
+    return small
+
+
+def profile_of(df: DataFrame, pos: str | None) -> DataFrame:
+    """Profile of a table with its modes as whole texts."""
+    obs = observations(df, pos)
+    found = written(profile(value_freq(obs, Layout(df.schema, (pos,) if pos else ()).fixed_types())), "profile")
+    keys = found.select("path", F.explode(F.array("mode", "min_label")).alias("text"))
+    return with_texts(found, long_texts(obs, keys), ["mode", "min_label"])
+
+
 def value_freq(obs: DataFrame, fixed: dict[str, tuple[str, int]] | None = None) -> DataFrame:
-    """A4: how often each text occurs per path, split by type, with first/last position.
+    """A4: how often each text occurs per path, split by type, with first/last position; long texts as keys.
 
     ``fixed`` names the (type, number of keys) of every path when no path can change type,
     as in typed tables; the shuffled rows then carry three numbers instead of twelve.
     """
+    # A long text has no native type; whether it reads as a number is asked before it becomes a key.
+    long = F.length("text") > KEY_CHARS
+    obs = obs.withColumns(
+        {
+            "long_int": F.when(long, is_int_text(F.col("text"))),
+            "long_number": F.when(long, text_to_double(F.col("text"))),
+            "text": text_key(F.col("text")),
+        }
+    )
     if fixed is not None:
         freq = _fixed_type_freq(obs, fixed)
     else:
@@ -40,20 +89,25 @@ def value_freq(obs: DataFrame, fixed: dict[str, tuple[str, int]] | None = None)
             F.max("pos").alias("last_pos"),
             F.min("n_keys").alias("min_keys"),
             F.max("n_keys").alias("max_keys"),
+            F.max("long_int").alias("long_int"),
+            F.max("long_number").alias("long_number"),
         )
     # Texts of native numbers need no pattern: their form is known.
     text, native = F.col("text"), F.col("n_int") + F.col("n_float") > 0
     return freq.withColumns(
         {
-            "int_text": F.when(native, F.col("n_int") > 0).otherwise(is_int_text(text)),
-            "number": F.when(native, finite_or_inf(text.try_cast("double"))).otherwise(text_to_double(text)),
+            "int_text": F.when(native, F.col("n_int") > 0).when(is_long(text), F.col("long_int")).otherwise(is_int_text(text)),
+            "number": F.when(native, finite_or_inf(text.try_cast("double")))
+            .when(is_long(text), F.col("long_number"))
+            .otherwise(text_to_double(text)),
         }
-    )
+    ).drop("long_int", "long_number")
 
 
 def _fixed_type_freq(obs: DataFrame, fixed: dict[str, tuple[str, int]]) -> DataFrame:
     freq = obs.groupBy("path", "text").agg(
-        F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos")
+        F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"),
+        F.max("long_int").alias("long_int"), F.max("long_number").alias("long_number"),
     )
 
     def by_path(values: dict[str, object]) -> Column:
@@ -65,7 +119,7 @@ def _fixed_type_freq(obs: DataFrame, fixed: dict[str, tuple[str, int]]) -> DataF
         "path", "text", "n",
         *[F.when(F.col("vtype") == t, F.col("n")).otherwise(F.lit(0)).alias(f"n_{t}") for t in LEARNING_TYPES],
         *[F.when(F.col("vtype") == t, F.col("first_pos")).alias(f"first_{t}") for t in LEARNING_TYPES],
-        "last_pos", n_keys.alias("min_keys"), n_keys.alias("max_keys"),
+        "last_pos", n_keys.alias("min_keys"), n_keys.alias("max_keys"), "long_int", "long_number",
     )
 
 

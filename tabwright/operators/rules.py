@@ -124,7 +124,11 @@ def label_encoders(freq: DataFrame, plan: DataFrame) -> DataFrame:
     Features have at most ``max_categorical`` labels; only those paths are read again.
     """
     wanted = plan.where((F.col("sense") == CATEGORICAL) & F.col("selected")).select("path")
-    labels = freq.join(wanted, "path", "left_semi").select("path", F.col("text").alias("label"))
+    return label_order(freq.join(wanted, "path", "left_semi").select("path", F.col("text").alias("label")))
+
+
+def label_order(labels: DataFrame) -> DataFrame:
+    """Codes by ascending text; asked again once the keys of long labels have become texts."""
     return labels.withColumn("idx", (F.row_number().over(W.partitionBy("path").orderBy("label")) - 1).cast("int"))
 
 

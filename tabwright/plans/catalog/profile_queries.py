@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabwright.config import EstimatorSpec, SchemaOptions
 from tabwright.operators.observe import observations, with_target
-from tabwright.operators.profile import freq_of, medians, profile
+from tabwright.operators.profile import freq_of, medians, profile, profile_of
 from tabwright.operators.rules import rejected, selected
 from tabwright.plans.catalog.common import (
     MIXED_ORDERS_SQL, mixed_orders, rounded, sql_obs, sql_plan, sql_profile, sql_round, table,
@@ -67,7 +67,7 @@ def target_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def type_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2, A3: presence and type mix of attributes that change type between documents."""
-    profiled = profile(freq_of(mixed_orders(spark, sf_dir), "pos"))
+    profiled = profile_of(mixed_orders(spark, sf_dir), "pos")
     return profiled.select("path", "present", "n_int", "n_float", "n_string", "n_date", "int_strings", "float_strings")
 
 
@@ -78,7 +78,7 @@ def value_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attr_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: most frequent value, ties to the one that got there first."""
-    return profile(freq_of(table(spark, sf_dir, "orders"), "o_orderkey")).select("path", "mode")
+    return profile_of(table(spark, sf_dir, "orders"), "o_orderkey").select("path", "mode")
 
 
 def _texty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,13 +109,13 @@ _TEXTY_OBS = sql_obs(
 
 def numeric_string_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that read as whole or fractional numbers."""
-    return profile(freq_of(_texty_customers(spark, sf_dir), "c_custkey")).select("path", "int_strings", "float_strings")
+    return profile_of(_texty_customers(spark, sf_dir), "c_custkey").select("path", "int_strings", "float_strings")
 
 
 def attr_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile summary of customers, segment as target."""
     kept = with_target(table(spark, sf_dir, "customer"), "c_mktsegment")
-    return profile(freq_of(kept, "c_custkey")).select(
+    return profile_of(kept, "c_custkey").select(
         "path", "present", "unique_count", "mode", "int_strings", "float_strings"
     )
 
@@ -163,6 +163,12 @@ def median_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("path", *[rounded(c, c) for c in ("median_int", "mean_int", "median_float", "mean_float")])
 
 
+def long_text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and modes of the documents table, whose texts are long and nearly unique."""
+    found = profile_of(table(spark, sf_dir, "documents"), "doc_id")
+    return found.select("path", "present", "unique_count", "n_int", "n_string", "mode")
+
+
 _PARTS_SPEC = EstimatorSpec("parts", "p_type", pos="p_partkey")
 _ORDERS_SPEC = EstimatorSpec("orders", "priority")
 
@@ -213,7 +219,15 @@ def label_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned(_sized_parts(spark, sf_dir), _PARTS_SPEC).encoders
 
 
+_LONG_TEXT_SQL = sql_profile(
+    sql_obs(
+        "(SELECT doc_id, text AS body, lang, source, n_chars FROM documents)", "doc_id",
+        [("text", "string", "body"), ("lang", "string", "lang"), ("source", "string", "source"), ("n_chars", "int", "n_chars")],
+    )
+) + "SELECT path, present, unique_count, n_int, n_string, mode FROM prof JOIN modes USING (path)"
+
 QUERIES = {
+    "long_text_profile": long_text_profile,
     "doc_flatten": doc_flatten,
     "ext_json_unwrap": ext_json_unwrap,
     "target_filter": target_filter,
@@ -249,6 +263,7 @@ _LINE_ATTRS = [
 ]
 
 SQL = {
+    "long_text_profile": _LONG_TEXT_SQL,
     "doc_flatten": _comparable_sql(
         "events", "event_id",
         [

@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabwright.config import EstimatorSpec
 from tabwright.operators.clean import Attribute, selected_attributes
 from tabwright.operators.discovery import discover
-from tabwright.operators.observe import Layout, with_target
-from tabwright.operators.profile import freq_of, medians, profile
-from tabwright.operators.rules import attribute_plan, label_encoders
+from tabwright.operators.observe import Layout, observations, with_target
+from tabwright.operators.profile import long_texts, medians, profile, value_freq, with_texts
+from tabwright.operators.rules import attribute_plan, label_encoders, label_order
 from tabwright.sources.scratch import written
 
 
@@ -32,10 +33,19 @@ def plan_table(kept: DataFrame, spec: EstimatorSpec) -> Planned:
     # The pass that looks for the documents' paths counts them, too.
     found = discover(kept, layout.variants) if layout.variants else None
     n_docs = found.n_rows if found else kept.count()
-    freq = written(freq_of(kept, spec.pos, found), "value_freq")
-    profiled = profile(freq)
+    obs = observations(kept, spec.pos, found=found)
+    freq = written(value_freq(obs, layout.fixed_types()), "value_freq")
+    profiled = written(profile(freq), "profile")
     plan = written(attribute_plan(profiled, medians(freq), n_docs, spec), "plan")
-    return Planned(n_docs, profiled, plan, label_encoders(freq, plan))
+    encoders = label_encoders(freq, plan)
+    keys = profiled.select("path", F.explode(F.array("mode", "min_label")).alias("text")).unionByName(
+        encoders.select("path", F.col("label").alias("text"))
+    )
+    texts = long_texts(obs, keys)
+    return Planned(
+        n_docs, with_texts(profiled, texts, ["mode", "min_label"]), with_texts(plan, texts, ["default_text"]),
+        label_order(with_texts(encoders, texts, ["label"])),
+    )
 
 
 def planned(df: DataFrame, spec: EstimatorSpec) -> Planned:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tabwright.config import EstimatorSpec, SchemaOptions
 from tabwright.operators.observe import observations, with_target
-from tabwright.operators.profile import freq_of, median_by_narrowing, medians, profile, value_freq
+from tabwright.plans.planning import planned
+from tabwright.operators.profile import freq_of, median_by_narrowing, medians, profile, profile_of, value_freq
 from tabwright.operators.rules import (
     attribute_plan, constant_default, label_encoders, preferred_type, rejected, selected,
 )
@@ -173,3 +174,18 @@ def test_preferred_type_needs_enough_documents(documents):
     docs = documents(spread(10, v=lambda i: i if i < 8 else None))
     rows = profile(freq_of(docs, "pos")).where("path = 'v'")
     assert rows.select(preferred_type(SPEC, 10).alias("t")).first().t is None
+
+
+def test_long_texts_are_counted_by_key_and_fetched_back(spark):
+    head = "h" * 64
+    texts = [head, head + "b", head + "a" * 900, head + "a" * 900, "9" * 70, "short", "é" * 64, "é" * 65, "é" * 65]
+    df = spark.createDataFrame([(i, t, ["x" * 80, "y" * 80][i % 2]) for i, t in enumerate(texts)], "pos long, t string, y string")
+    freq = freq_of(df, "pos").where("path = 't'").collect()
+    assert sorted(r.n for r in freq) == [1, 1, 1, 1, 1, 2, 2] and max(len(r.text) for r in freq) == 129
+    assert [(r.int_text, r.number) for r in freq if r.text.startswith("9")] == [(True, float("9" * 70))]
+    found = {r.path: r for r in profile_of(df, "pos").collect()}
+    assert found["t"].mode == head + "a" * 900 and found["t"].unique_count == 7 and found["y"].mode == "x" * 80
+    done = planned(df, EstimatorSpec("t", "y"))
+    assert [(r.label, r.idx) for r in done.encoders.where("path = 'y'").orderBy("idx").collect()] == [("x" * 80, 0), ("y" * 80, 1)]
+    defaults = {r.path: r.default_text for r in done.plan.collect()}
+    assert defaults["y"] == "x" * 80
