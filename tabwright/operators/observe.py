@@ -230,8 +230,11 @@ def observations(
     return rows if keep_unknown else rows.where(F.col("vtype") != UNKNOWN)
 
 
-def with_target(df: DataFrame, target: str, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Rows whose target is present, not null and not the empty text; 0 and false stay."""
+def with_target(df: DataFrame, target: str, skip: tuple[str, ...] = (), absent: bool = False) -> DataFrame:
+    """Rows whose target is present, not null and not the empty text; 0 and false stay.
+
+    ``absent`` gives the other rows instead.
+    """
     source = Layout(df.schema, skip).source(target, 1, len(target.split(SEPARATOR)))
     if source is None:
         raise ValueError(f"target {target!r} is not an attribute of the table")
@@ -239,10 +242,11 @@ def with_target(df: DataFrame, target: str, skip: tuple[str, ...] = ()) -> DataF
         kept = source.column.isNotNull()
         if isinstance(source.dtype, T.StringType):
             kept = kept & (source.column != "")
-        return df.where(kept)
+        return df.where(~F.coalesce(kept, F.lit(False)) if absent else kept)
     # A filter would move below the projection that parses the document and parse it once
     # more per test; a generator stays where it is.
     read = df.withColumn("_target", source).withColumn("_target_tag", F.schema_of_variant("_target"))
     empty = (F.col("_target_tag") == "STRING") & (F.try_variant_get("_target", "$", "string") == "")
-    once = F.when((F.col("_target_tag") != "VOID") & ~F.coalesce(empty, F.lit(False)), F.array(F.lit(True)))
+    kept = F.coalesce((F.col("_target_tag") != "VOID") & ~F.coalesce(empty, F.lit(False)), F.lit(False))
+    once = F.when(~kept if absent else kept, F.array(F.lit(True)))
     return read.select(*[col(c) for c in df.columns], F.explode(once).alias("_kept")).drop("_kept")

@@ -17,9 +17,9 @@ from tabwright.plans.planning import planned
 from tabwright.plans.report import default_row, sample_request
 from tabwright.plans.stages import clean_stage, profile_stage
 from tabwright.sources.delimited import TableFormat, read_delimited
-from tabwright.sources.documents import read_json_lines, readable, write_json_lines
+from tabwright.sources.documents import parse_documents, read_json_lines, readable, write_json_lines
 from tabwright.sources.scratch import scratch_dir
-from tabwright.sources.store import DEFAULTS, ENCODERS, SENSES, TYPES, ArtifactStore
+from tabwright.sources.store import ASIDE, DEFAULTS, ENCODERS, LOSSES, SENSES, TYPES, ArtifactStore
 
 
 def _patchy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +154,17 @@ def artifact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def loss_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every order went whose text is broken in one of ten and has no target in one of seven."""
+    orders = table(spark, sf_dir, "orders")
+    body = F.to_json(F.struct("o_totalprice", F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderpriority")).alias("priority")))
+    text = F.when(F.col("o_orderkey") % 10 == 0, F.substring(body, 1, 9)).otherwise(body)
+    spec = EstimatorSpec("lossy", "priority")
+    store = _store(spark, spec)
+    profile_stage(parse_documents(orders.select(F.col("o_orderkey").alias("pos"), text.alias("text"))), spec, store)
+    return store.read(LOSSES).unionByName(store.read(ASIDE).groupBy(F.concat(F.lit("aside_"), "_reason").alias("kind")).agg(F.count("*").alias("n")))
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts written as padded delimited text and read back typed."""
     layout = TableFormat(
@@ -188,6 +199,7 @@ QUERIES = {
     "decode_orders": decode_orders,
     "default_request": default_request,
     "artifact_roundtrip": artifact_roundtrip,
+    "loss_accounting": loss_accounting,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
 }
@@ -225,6 +237,10 @@ SQL = {
     "default_request": """SELECT concat('{"o_orderstatus":"', s, '","o_totalprice":', p, '}') AS request FROM
         (SELECT median(o_totalprice) AS p FROM orders),
         (SELECT o_orderstatus AS s FROM orders GROUP BY 1 ORDER BY count(*) DESC, max(o_orderkey) LIMIT 1)""",
+    "loss_accounting": """
+        WITH o AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'unreadable' WHEN o_orderkey % 7 = 0 THEN 'missing_target' ELSE 'raw' END AS kind FROM orders)
+        SELECT 'input' AS kind, count(*) AS n FROM o UNION ALL SELECT kind, count(*) FROM o GROUP BY kind
+        UNION ALL SELECT 'aside_' || kind, count(*) FROM o WHERE kind <> 'raw' GROUP BY kind""",
     "artifact_roundtrip": f"""
         SELECT 'type' AS kind, path, type AS value FROM
           (VALUES ('o_orderstatus', 'string'), ('o_orderpriority', 'string'), ('o_totalprice', 'float')) t(path, type)
