@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tabwright.operators.ranking import bucket_count, running_totals, value_buckets
+from tabwright.operators.ranking import range_buckets, running_totals
 
 LOG_EPS = 1e-15
 COUNT_METRICS = [
@@ -103,31 +103,28 @@ def one_vs_rest(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def curve_counts(scored: DataFrame, keys: Sequence[str], n_curves: int | None = None) -> DataFrame:
+def curve_counts(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Positives and negatives per distinct score with running totals by falling score.
 
     Columns: keys, score, pos, neg, tp, fp (inclusive), all_pos, all_neg and the counts of
-    the next step.  ``n_curves`` is the number of curves (labels times models) when known;
-    it bounds what value_buckets may broadcast.
+    the next step.  Any number of curves: they lie one after the other in the range partitions.
     """
     steps = scored.groupBy(*keys, "score").agg(
         F.sum("pos").alias("pos"), (F.count("*") - F.sum("pos")).alias("neg")
     ).withColumn("falling", -F.col("score"))
-    cut = value_buckets(steps, list(keys), "falling", bucket_count(scored), n_curves)
+    cut = range_buckets(steps, list(keys), ["falling"])
     return running_totals(
         cut, list(keys), ["falling"], {"tp": "pos", "fp": "neg"}, {"next_pos": "pos", "next_neg": "neg"},
         {"all_pos": "tp", "all_neg": "fp"},
     ).drop("bucket", "falling")
 
 
-def roc_points(
-    scored: DataFrame, keys: Sequence[str] = ("label",), n_curves: int | None = None
-) -> DataFrame:
+def roc_points(scored: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
     """(threshold, fpr, tpr) with evenly repeated steps left out, plus the origin.
 
     The origin has a NULL threshold.  A class without positives or negatives has NULL rates.
     """
-    steps = curve_counts(scored, keys, n_curves)
+    steps = curve_counts(scored, keys)
     first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
     last = F.col("next_pos").isNull()
     bend = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
@@ -146,32 +143,34 @@ def roc_points(
     return steps.select(*keys, F.inline(kept))
 
 
-def roc_auc(scored: DataFrame, keys: Sequence[str] = ("label",), n_curves: int | None = None) -> DataFrame:
-    """Area under the ROC curve; each score step is one trapezoid."""
+def curve_metrics(scored: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
+    """A17, M1.8: ``auc`` and ``average_precision`` of every curve from one table of counts.
+
+    Each score step is one trapezoid under the ROC curve and one step of recall.
+    """
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
-    return curve_counts(scored, keys, n_curves).groupBy(*keys).agg(
-        ratio(area, F.sum("pos") * F.sum("neg")).alias("auc")
+    steps = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    return curve_counts(scored, keys).groupBy(*keys).agg(
+        ratio(area, F.sum("pos") * F.sum("neg")).alias("auc"),
+        ratio(steps, F.sum("pos")).alias("average_precision"),
     )
 
 
-def average_precision(scored: DataFrame, keys: Sequence[str] = ("label",), n_curves: int | None = None) -> DataFrame:
-    """M1.8: precision summed over recall steps."""
-    steps = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
-    return curve_counts(scored, keys, n_curves).groupBy(*keys).agg(
-        ratio(steps, F.sum("pos")).alias("average_precision")
-    )
+def roc_auc(scored: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
+    """Area under the ROC curve."""
+    return curve_metrics(scored, keys).drop("average_precision")
 
 
-def curve_area(points: DataFrame, keys: Sequence[str] = ("label",), n_curves: int | None = None) -> DataFrame:
-    """Trapezoid area under stored curve points.
+def average_precision(scored: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
+    """M1.8: precision summed over recall steps."""
+    return curve_metrics(scored, keys).drop("auc")
 
-    Points of one curve are ordered inside value buckets like any other large group.
-    """
+
+def curve_area(points: DataFrame, keys: Sequence[str] = ("label",)) -> DataFrame:
+    """Trapezoid area under stored curve points, in range partitions like any other large group."""
     known = points.where(F.col("fpr").isNotNull() & F.col("tpr").isNotNull()).select(*keys, "fpr", "tpr")
     spot = known.groupBy(*keys, "fpr", "tpr").agg(F.count("*").alias("same"))
-    cut = value_buckets(
-        spot.withColumn("along", F.col("fpr") + F.col("tpr")), list(keys), "along", bucket_count(points), n_curves
-    )
+    cut = range_buckets(spot.withColumn("along", F.col("fpr") + F.col("tpr")), list(keys), ["along", "fpr", "tpr"])
     stepped = running_totals(
         cut, list(keys), ["along", "fpr", "tpr"], {}, {"next_fpr": "fpr", "next_tpr": "tpr"}
     )
@@ -202,27 +201,29 @@ def count_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def probability_metric(
-    predictions: DataFrame, metric: str, by: Sequence[str] = (), n_curves: int | None = None
-) -> DataFrame:
-    """M1.5, M1.8: per-label value averaged over labels; two classes use the second one."""
-    keys = [*by, "label"]
-    scored = one_vs_rest(predictions, by)
-    if metric == "roc_auc":
-        per_label, value = roc_auc(scored, keys, n_curves), "auc"
-    else:
-        per_label, value = average_precision(scored, keys, n_curves), "average_precision"
-    top = F.max("label")
-    only_second = F.max(F.when(F.col("label") == 1, F.col(value)))
-    return per_label.groupBy(*by).agg(F.when(top == 1, only_second).otherwise(F.avg(value)).alias(metric))
+def probability_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """M1.5, M1.8: per-label values averaged over labels; two classes use the second one."""
+    per_label = curve_metrics(one_vs_rest(predictions, by), [*by, "label"])
+    two = F.max("label") == 1
+
+    def over_labels(value: str) -> Column:
+        return F.when(two, F.max(F.when(F.col("label") == 1, F.col(value)))).otherwise(F.avg(value))
+
+    return per_label.groupBy(*by).agg(
+        over_labels("auc").alias("roc_auc"), over_labels("average_precision").alias("average_precision")
+    )
+
+
+def probability_metric(predictions: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
+    """M1.5 or M1.8 alone."""
+    return probability_metrics(predictions, by).select(*by, metric)
 
 
-def metric_panel(predictions: DataFrame, by: Sequence[str] = (), n_curves: int | None = None) -> DataFrame:
+def metric_panel(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """M1: all eleven metrics per model, one row each."""
     parts = [
         count_metrics(predictions, by),
-        probability_metric(predictions, "roc_auc", by, n_curves),
-        probability_metric(predictions, "average_precision", by, n_curves),
+        probability_metrics(predictions, by),
         log_loss(predictions, by),
     ]
     names = [c for part in parts for c in part.columns if c not in by]
@@ -236,21 +237,19 @@ def metric_panel(predictions: DataFrame, by: Sequence[str] = (), n_curves: int |
     return long.groupBy(*by).pivot("metric", names).agg(F.max("value"))
 
 
-def metric_value(
-    predictions: DataFrame, metric: str, by: Sequence[str] = (), n_curves: int | None = None
-) -> DataFrame:
+def metric_value(predictions: DataFrame, metric: str, by: Sequence[str] = ()) -> DataFrame:
     """M1: ``score`` per model, larger is better (log loss is negated)."""
     if metric == "log_loss":
         return log_loss(predictions, by).select(*by, (-F.col("log_loss")).alias("score"))
     if metric in ("roc_auc", "average_precision"):
-        return probability_metric(predictions, metric, by, n_curves).select(*by, F.col(metric).alias("score"))
+        return probability_metric(predictions, metric, by).select(*by, F.col(metric).alias("score"))
     return count_metrics(predictions, by).select(*by, F.col(metric).alias("score"))
 
 
-def performance_table(predictions: DataFrame, n_curves: int | None = None) -> DataFrame:
+def performance_table(predictions: DataFrame) -> DataFrame:
     """Precision, recall and AUC per label."""
     return precision_recall(predictions).select("label", "precision", "recall").join(
-        roc_auc(one_vs_rest(predictions), n_curves=n_curves), "label", "left"
+        roc_auc(one_vs_rest(predictions)), "label", "left"
     )
 
 

@@ -1,8 +1,8 @@
 """Running totals and ranks over groups of any size.
 
 A window without enough partitions sends a whole group to one task.  Here a group is cut
-into value buckets first: running totals inside each bucket, plus the totals of the
-buckets before it (one row per group and bucket).  Results equal the plain window.
+into buckets first, by value ranges or by hash: running totals inside each bucket, plus the
+totals of the buckets before it (one row per group and bucket).  Results equal the plain window.
 """
 
 from __future__ import annotations
@@ -12,21 +12,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import HASH_RANGE
+from tabwright.sources.scratch import written
 
-MAX_VALUE_BUCKETS = 1024     # a sketch carries this many cut points per group
 MAX_HASH_BUCKETS = 65_536    # one offset row each
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Value buckets per group: as many as a shuffle has partitions, within fixed limits."""
-    return max(8, min(MAX_VALUE_BUCKETS, _shuffle_partitions(df)))
-
-
 def hash_bucket_count(df: DataFrame) -> int:
     """Hash buckets need no sketch, so a few per shuffle partition keep tasks small."""
     return max(8, min(MAX_HASH_BUCKETS, 4 * _shuffle_partitions(df)))
@@ -37,21 +31,15 @@ def hash_bucket(number: Column, buckets: int) -> Column:
     return F.floor(number.cast("double") / F.lit(float(HASH_RANGE)) * buckets).cast("int")
 
 
-def value_buckets(df: DataFrame, keys: list[str], order: str, buckets: int, n_groups: int | None = None) -> DataFrame:
-    """Add ``bucket`` from per-group quantile sketches (merged map-side, fixed size).
+def range_buckets(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Add ``bucket``: the range partition by (keys, order) a row falls into, monotone in ``order`` inside a group.
 
-    With a known number of groups the cut points have a known size (8 bytes per bucket
-    and group) and are broadcast while they fit; otherwise Spark picks the join.
+    Cut points come from Spark's own sample of the rows, so no row is held against a list of them, and a group
+    of any share of the rows is spread over partitions. Written once: every later pass reads the same cut, also
+    after a lost executor. Rows that agree in keys and order share a partition, so count them together first.
     """
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = df.groupBy(*keys).agg(
-        F.percentile_approx(order, cuts, F.lit(20 * buckets)).alias("bounds")
-    )
-    if n_groups is not None and n_groups * buckets * 8 <= MAX_BROADCAST_BYTES:
-        bounds = F.broadcast(bounds)
-    return df.join(bounds, keys).withColumn(
-        "bucket", F.size(F.filter("bounds", lambda b: b < F.col(order))).cast("int")
-    ).drop("bounds")
+    cut = df.repartitionByRange(*keys, *order).withColumn("bucket", F.spark_partition_id())
+    return written(cut, "ranges")
 
 
 def running_totals(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabwright.config import BalanceOptions
 from tabwright.functions.hashing import hash_number, unit_hash
-from tabwright.operators.ranking import hash_bucket, ranked_by_hash, running_totals, value_buckets
+from tabwright.operators.ranking import hash_bucket, range_buckets, ranked_by_hash, running_totals
 from tabwright.operators.sample import balance_copies, balance_quota, balance_rows, class_counts, exact_split, hash_split
 
 
@@ -89,7 +89,7 @@ def test_rank_by_hash_equals_the_plain_window(spark, keys):
 @given(st.dictionaries(st.tuples(st.sampled_from("pq"), st.integers(0, 300)), st.integers(0, 9), min_size=1, max_size=80))
 def test_running_totals_equal_the_plain_window(spark, values):
     df = spark.createDataFrame([(k, float(v), n) for (k, v), n in values.items()], "k string, v double, n long")
-    cut = value_buckets(df, ["k"], "v", 8)
+    cut = range_buckets(df, ["k"], ["v"])
     got = running_totals(cut, ["k"], ["v"], {"upto": "n"}, {"next_n": "n"})
     w = W.partitionBy("k").orderBy("v")
     plain = got.withColumns({"w_upto": F.sum("n").over(w), "w_next": F.lead("n").over(w)})
