@@ -13,7 +13,7 @@ from tabwright.llm.common import fold, table
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = warc.round_trip(table(spark, sf_dir, "pages")).where("gap IS NULL")
+    records, _ = warc.indexed(spark, warc.archived(table(spark, sf_dir, "pages")))
 
     def page(name: str):
         return F.regexp_extract(name, r"^<urn:page:(-?\d+):", 1).try_cast("long")

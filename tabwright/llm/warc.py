@@ -17,7 +17,7 @@ member's offsets and its reason the lost bytes of the content. Of a cut or damag
 right digest are kept, and none if the checksum fails and every digest is right: the damage may be in any header.
 
 Defined results: a null payload is empty, a null url leaves the target out, a null page id is written
-as ``null``. Rows that repeat a page id each get a record; if the largest page id is repeated, all its
+as ``null``. An archive file holds ``archive_bytes`` and one record at most, whatever the task's share. Rows that repeat a page id each get a record; if the largest page id is repeated, all its
 rows are responses. Further columns are ignored. An empty table gives no archive record.
 """
 
@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.sources.scratch import scratch_dir
+from tabwright.sources.scratch import scratch_dir, written
 
 GZIP = b"\x1f\x8b\x08"
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r?\n")
@@ -53,6 +53,9 @@ class WarcOptions:
     least_revisit: int = 1000
     date: str = "2000-01-01T00:00:00Z"
     level: int = 6
+    #: Bytes of a row handed to Spark's writer, and of an archive file.
+    row_bytes: int = 1 << 20
+    archive_bytes: int = 64 << 20
     #: Payload bytes that leave a task at once when reading.
     out_bytes: int = 8 << 20
 
@@ -111,21 +114,36 @@ def verdicts(pages: DataFrame, opts: WarcOptions = WarcOptions()) -> DataFrame:
 def write_archives(pages: DataFrame, path: str, opts: WarcOptions = WarcOptions()) -> None:
     """One record per row of ``pages`` (page_id, url, html) into new archives under ``path``.
 
-    A task writes one archive; its size follows Spark's partition size.
+    A task's members are joined to rows of about ``row_bytes``, and the writer opens a new file after
+    ``archive_bytes`` worth of rows. A longer row is followed by empty ones, one for every further ``row_bytes``
+    of it: they count towards the file and are written as padding, so long records do not make long files.
     """
 
     def records(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, row, size, ready = [], [], 0, 0
+
+        def close() -> None:
+            nonlocal row, size
+            joined = b"".join(row)
+            rows.append(joined[:-1] if joined[-1] == 0 else joined)
+            rows.extend([b""] * (size // opts.row_bytes - 1))
+            row, size = [], 0
+
         for frame in frames:
-            out, size = [], 0
-            for row in frame.itertuples(index=False):
-                page, ref = (None if pd.isna(x) else int(x) for x in (row.page_id, row.refers_to))
-                packed = member(record_bytes(page, row.url, bytes(row.payload or b""), ref, opts), opts.level)
-                out.append(packed[:-1] if packed[-1] == 0 else packed)
+            for page, url, payload, ref in frame[["page_id", "url", "payload", "refers_to"]].itertuples(index=False):
+                page, ref = (None if pd.isna(x) else int(x) for x in (page, ref))
+                packed = member(record_bytes(page, url, bytes(payload or b""), ref, opts), opts.level)
+                row.append(packed)
                 size += len(packed)
-                if size > opts.out_bytes:
-                    yield pd.DataFrame({"record": out})
-                    out, size = [], 0
-            yield pd.DataFrame({"record": out})
+                ready += len(packed)
+                if size >= opts.row_bytes:
+                    close()
+                if ready > opts.out_bytes and rows:
+                    yield pd.DataFrame({"record": rows})
+                    rows, ready = [], 0
+        if row:
+            close()
+        yield pd.DataFrame({"record": rows})
 
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col("html").cast("binary").alias("payload"))
     same = base["page_id"].eqNullSafe(F.col("rev_id")) & (F.sha1("payload") == F.col("rev_digest"))
@@ -133,7 +151,8 @@ def write_archives(pages: DataFrame, path: str, opts: WarcOptions = WarcOptions(
     ready = base.join(rev, same, "left").select("page_id", "url", "payload", F.col("refers_to").cast("string").alias("refers_to"))
     ready = ready.withColumn("page_id", F.col("page_id").cast("string"))
     rows = ready.mapInPandas(records, "record binary").select(F.col("record").cast("string").alias("value"))
-    rows.write.option("lineSep", "\u0000").text(path)
+    per_file = max(1, opts.archive_bytes // opts.row_bytes)
+    rows.write.option("lineSep", "\u0000").option("maxRecordsPerFile", per_file).text(path)
 
 
 class BadRecord(ValueError):
@@ -289,28 +308,45 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict]]:
 def read_archives(spark: SparkSession, path: str, opts: WarcOptions = WarcOptions()) -> DataFrame:
     """Rows of RECORD_SCHEMA: records (``gap`` null) and quarantined gaps (only file, offsets and ``gap``).
 
-    A file is one row of Spark's binary reader, so it must fit in a task; archives are split below that.
+    A file is one row of Spark's binary reader, so it must fit in a task, as those of ``write_archives`` do.
     """
     names = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
+    # Text columns stay objects: a column of nothing but gaps and nulls would else become numbers.
+    empty, numbers = dict.fromkeys(names), {"offset": "int64", "end_offset": "int64", "payload_bytes": "Int64"}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, content in zip(frame.path, frame.content):
                 out, size = [], 0
                 for start, end, gap, fields in salvage(bytes(content)):
-                    out.append({"file": name, "offset": start, "end_offset": end, "gap": gap} | fields)
+                    out.append(empty | {"file": name, "offset": start, "end_offset": end, "gap": gap} | fields)
                     size += 1000 + len(fields.get("payload") or b"")
                     if size > opts.out_bytes:
-                        yield pd.DataFrame(out, columns=names).astype({"payload_bytes": "Int64"})
+                        yield pd.DataFrame(out, columns=names, dtype=object).astype(numbers)
                         out, size = [], 0
-                yield pd.DataFrame(out, columns=names).astype({"payload_bytes": "Int64"})
+                yield pd.DataFrame(out, columns=names, dtype=object).astype(numbers)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     return files.mapInPandas(run, RECORD_SCHEMA)
 
 
-def round_trip(pages: DataFrame, opts: WarcOptions = WarcOptions()) -> DataFrame:
-    """Write the pages to new archives in the shared folder and read their records back."""
+def indexed(spark: SparkSession, path: str, opts: WarcOptions = WarcOptions()) -> tuple[DataFrame, DataFrame]:
+    """(records without payloads, gaps) of the archives, read once.
+
+    Both are cut from one written table, so the log of quarantined bytes stays in the shared folder.
+    """
+    found = written(read_archives(spark, path, opts).drop("payload"), "warc-index")
+    gaps = found.where("gap IS NOT NULL").select("file", "offset", "end_offset", "gap")
+    return found.where("gap IS NULL").drop("gap"), gaps
+
+
+def archived(pages: DataFrame, opts: WarcOptions = WarcOptions()) -> str:
+    """The pages written to new archives in the shared folder; their path."""
     path = f"{scratch_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, path, opts)
-    return read_archives(pages.sparkSession, path, opts)
+    return path
+
+
+def round_trip(pages: DataFrame, opts: WarcOptions = WarcOptions()) -> DataFrame:
+    """Write the pages to new archives and read their records and gaps back, payloads included."""
+    return read_archives(pages.sparkSession, archived(pages, opts), opts)

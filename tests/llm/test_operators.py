@@ -41,6 +41,38 @@ def test_archives_round_trip_and_revisits(spark):
     assert {bytes(r.payload) for r in out if r.record_id.startswith("<urn:page:4")} == {b"short"}
 
 
+def test_archives_are_cut_at_their_size(spark):
+    opts = warc.WarcOptions(row_bytes=4000, archive_bytes=40_000, out_bytes=10_000)
+    noise = {i: random.Random(i).randbytes(500 if i % 10 else 30_000).hex() for i in range(200)}
+    rows = [(i, None if i % 3 else f"http://x/{i}", noise[i], "extra") for i in noise]
+    path = warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string, payload string").coalesce(1), opts)
+    sizes = [r.length for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length").collect()]
+    longest = max(len(warc.member(warc.record_bytes(i, "http://x/0", html.encode(), None))) for i, html in noise.items())
+    assert len(sizes) >= sum(sizes) / (40_000 + longest) and max(sizes) <= 40_000 + longest + 10 and len(sizes) > 10
+    back = {r.record_id.split(":")[2]: bytes(r.payload).decode() for r in warc.read_archives(spark, path, opts).collect()}
+    assert back == {str(i): html for i, html in noise.items()}
+    records, gaps = warc.indexed(spark, path, opts)
+    assert records.count() == 200 and gaps.count() == 0
+
+
+def test_gaps_are_kept_as_a_table(spark, tmp_path):
+    units = [warc.member(warc.record_bytes(i, "u", b"payload %d " % i * 50, None)) for i in range(6)]
+    bad = bytearray(units[2])
+    bad[len(bad) // 2] ^= 255
+    (tmp_path / "part-0.warc.gz").write_bytes(b"".join([*units[:2], bytes(bad), *units[3:]]))
+    records, gaps = warc.indexed(spark, str(tmp_path))
+    assert records.count() == 5 and "gap" not in records.columns
+    gap = gaps.collect()
+    start = len(units[0]) + len(units[1])
+    assert [(r.offset, r.end_offset) for r in gap] == [(start, start + len(bad))] and gap[0].gap
+
+
+def test_no_pages_give_no_records(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    records, gaps = warc.indexed(spark, warc.archived(none))
+    assert records.count() == gaps.count() == 0
+
+
 @pytest.mark.parametrize("packed", [True, False])
 def test_salvage_goes_on_after_damage(packed):
     records = [warc.record_bytes(i, "u", (b"payload %d " % i) * 50, None) for i in range(6)]
