@@ -148,7 +148,8 @@ class LanguageModel:
             logit = _logits(self.weights, features[i : i + step])
             logit -= logit.max(axis=1, keepdims=True)
             own = logit[np.arange(len(logit)), classes[i : i + step]]
-            out[i : i + step] = own - np.log(np.exp(logit).sum(axis=1, dtype=np.float64))
+            np.exp(logit, out=logit)
+            out[i : i + step] = own - np.log(logit.sum(axis=1, dtype=np.float64))
         return out
 
     def trained(self, batches: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, int]:
@@ -165,12 +166,16 @@ class LanguageModel:
                 error /= error.sum(axis=1, keepdims=True)
                 error[np.arange(len(y)), y] -= 1
                 n += len(y)
-                for column in f.T:
-                    order = np.argsort(column, kind="stable")
-                    rows = column[order]
-                    heads = np.flatnonzero(np.diff(rows, prepend=-1))
-                    grad = np.add.reduceat(error[order], heads, axis=0)
-                    rows = rows[heads]
+                for k, column in enumerate(f.T):
+                    if k == 0:
+                        # Every token has the bias: nothing to sort.
+                        rows, grad = column[:1], np.add.reduceat(error, [0], axis=0)
+                    else:
+                        order = np.argsort(column, kind="stable")
+                        rows = column[order]
+                        heads = np.flatnonzero(np.diff(rows, prepend=-1))
+                        grad = np.add.reduceat(error[order], heads, axis=0)
+                        rows = rows[heads]
                     # One step size per feature row, by its squared gradients so far.
                     seen[rows] += (grad * grad).mean(axis=1)
                     w[rows] -= self.opts.rate * grad / np.sqrt(seen[rows])[:, None]
