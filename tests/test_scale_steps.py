@@ -6,12 +6,12 @@ from io import StringIO
 
 from pyspark.sql import functions as F
 
-from tabwright.config import EstimatorSpec, SearchOptions
+from tabwright.config import BalanceOptions, EstimatorSpec, SearchOptions
 from tabwright.operators import search
 from tabwright.operators.importance import borrowed_rows
 from tabwright.operators.learners import Candidate, Problem
 from tabwright.operators.one_pass import GAUSSIAN_BAYES, OnePassModel
-from tabwright.operators.sample import class_draws
+from tabwright.operators.sample import balance_copies, class_draws
 
 _BODY = '{"prior": [-0.5, -0.9], "features": [{"mean": [0.0, 1.0], "variance": [1.0, 2.0]}]}'
 
@@ -72,3 +72,13 @@ def test_draws_of_a_large_class_are_spread_over_tasks(spark):
     draws = class_draws(quota, 7)
     assert draws.rdd.getNumPartitions() == 4
     assert draws.count() == 800_000
+
+
+def test_draws_are_not_broadcast_whatever_adaptive_execution_takes_them_for(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("label"))
+    copies = balance_copies(rows, "label", "id", BalanceOptions("average", 2.0), 7).agg(F.sum("copies").alias("n"), F.count("*").alias("rows"))
+    plan = copies._jdf.queryExecution().executedPlan()
+    copies._jdf.collectAsList()
+    final = plan.toString().split("Initial Plan")[0]
+    assert "isFinalPlan=true" in final
+    assert not [line for line in final.splitlines() if "BroadcastHashJoin" in line and "_rank" in line]
