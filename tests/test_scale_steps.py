@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from tabwright.config import BalanceOptions, EstimatorSpec, SearchOptions
 from tabwright.operators import search
+from tabwright.operators.clean import Attribute
 from tabwright.operators.importance import borrowed_rows
 from tabwright.operators.learners import Candidate, Problem
 from tabwright.operators.one_pass import GAUSSIAN_BAYES, OnePassModel
 from tabwright.operators.sample import balance_copies, class_draws
+from tabwright.sources import scratch
 
 _BODY = '{"prior": [-0.5, -0.9], "features": [{"mean": [0.0, 1.0], "variance": [1.0, 2.0]}]}'
 
@@ -82,3 +84,25 @@ def test_draws_are_not_broadcast_whatever_adaptive_execution_takes_them_for(spar
     final = plan.toString().split("Initial Plan")[0]
     assert "isFinalPlan=true" in final
     assert not [line for line in final.splitlines() if "BroadcastHashJoin" in line and "_rank" in line]
+
+
+def test_fits_read_files_of_few_rows_and_keep_no_wide_rows(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_ROWS_PER_FILE", 100)
+    monkeypatch.setattr(scratch, "_SCAN_BYTES", 1 << 20)
+    rows = spark.range(900, numPartitions=1).selectExpr("id", "CAST(id % 2 AS double) AS y", "array(CAST(id % 7 AS double)) AS feature_row")
+    attributes = [
+        Attribute("a", "float", "Numerical", False, 0.0, None), Attribute("y", "string", "Categorical", True, None, "0", labels=("0", "1")),
+    ]
+    spec = EstimatorSpec("e", "y", search=SearchOptions(num_folds=3, include=frozenset({"decision_tree"}), max_models=1))
+    before, seen, real = spark.conf.get("spark.sql.files.maxPartitionBytes"), [], search.fit
+
+    def fit(candidate, problem, given, *rest):
+        most = given.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        seen.append((most, given.storageLevel.useMemory, spark._jsparkSession.sharedState().cacheManager().isEmpty()))
+        return real(candidate, problem, given, *rest)
+
+    monkeypatch.setattr(search, "fit", fit)
+    runs, oof = search.cross_validate(rows, attributes, spec)
+    assert [r.status for r in runs] == ["ok"] and oof.count() == 900
+    assert len(seen) == 3 and all(most <= 100 and not kept and empty for most, kept, empty in seen)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
