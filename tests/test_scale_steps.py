@@ -13,6 +13,7 @@ from tabwright.operators.importance import borrowed_rows
 from tabwright.operators.learners import Candidate, Problem
 from tabwright.operators.one_pass import GAUSSIAN_BAYES, OnePassModel
 from tabwright.operators.sample import balance_copies, class_draws
+from tabwright.plans.catalog.common import mixed_orders
 from tabwright.sources import scratch
 
 _BODY = '{"prior": [-0.5, -0.9], "features": [{"mean": [0.0, 1.0], "variance": [1.0, 2.0]}]}'
@@ -106,3 +107,18 @@ def test_fits_read_files_of_few_rows_and_keep_no_wide_rows(spark, monkeypatch):
     assert [r.status for r in runs] == ["ok"] and oof.count() == 900
     assert len(seen) == 3 and all(most <= 100 and not kept and empty for most, kept, empty in seen)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_documents_are_dealt_evenly_whatever_the_table_file(spark, tmp_path):
+    orders = spark.range(2000, numPartitions=1).selectExpr(
+        "id AS o_orderkey", "id % 50 AS o_custkey", "CASE id % 3 WHEN 0 THEN 'O' WHEN 1 THEN 'F' ELSE 'P' END AS o_orderstatus",
+        "CAST(id AS double) AS o_totalprice", "CAST('1996-01-02' AS timestamp_ntz) AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = mixed_orders(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_file = [r["count"] for r in docs.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) == 4 and sum(per_file) == 2000 and max(per_file) < 700
