@@ -30,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,9 +78,8 @@ class Coded:
 def coded(batch: list[str], opts: LmOptions) -> Coded:
     tokens = [[*words(t), END] for t in batch]
     at = offsets([len(t) for t in tokens])
-    flat = np.empty(at[-1], dtype=object)
-    flat[:] = list(chain.from_iterable(tokens))
-    codes, distinct = pd.factorize(flat)
+    coding = pa.array(list(chain.from_iterable(tokens)), pa.large_binary()).dictionary_encode()
+    codes, distinct = coding.indices.to_numpy().astype(np.int64), coding.dictionary.to_numpy(zero_copy_only=False)
     digest = xxhash.xxh3_64_intdigest
     hashes = np.fromiter(map(digest, distinct), dtype=np.uint64, count=len(distinct)).view(np.int64)
     tails = np.fromiter((digest(w[-3:]) for w in distinct), dtype=np.uint64, count=len(distinct))
@@ -166,16 +166,10 @@ class LanguageModel:
                 error /= error.sum(axis=1, keepdims=True)
                 error[np.arange(len(y)), y] -= 1
                 n += len(y)
-                for k, column in enumerate(f.T):
-                    if k == 0:
-                        # Every token has the bias: nothing to sort.
-                        rows, grad = column[:1], np.add.reduceat(error, [0], axis=0)
-                    else:
-                        order = np.argsort(column, kind="stable")
-                        rows = column[order]
-                        heads = np.flatnonzero(np.diff(rows, prepend=-1))
-                        grad = np.add.reduceat(error[order], heads, axis=0)
-                        rows = rows[heads]
+                # Every token has the bias: nothing to sort.
+                sums = [(np.zeros(1, dtype=np.int64), error.sum(axis=0, keepdims=True))]
+                sums += [row_sums(column, error) for column in f.T[1:]]
+                for rows, grad in sums:
                     # One step size per feature row, by its squared gradients so far.
                     seen[rows] += (grad * grad).mean(axis=1)
                     w[rows] -= self.opts.rate * grad / np.sqrt(seen[rows])[:, None]
@@ -183,6 +177,32 @@ class LanguageModel:
         return changed, w[changed] - self.weights[changed], n
 
 
+#: Rows met more often than this are summed one by one.
+_OFTEN = 16
+
+
+def row_sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, sum of the rows of ``values`` of each), from the most to the least frequent key.
+
+    The r-th rows of all keys are added at once, which costs a fraction of one reduction per key and column.
+    """
+    # Stable sorts of short integers are radix sorts.
+    order = np.argsort(keys.astype(np.uint16) if keys.max() < 1 << 16 else keys, kind="stable")
+    ordered = keys[order]
+    heads = np.flatnonzero(np.diff(ordered, prepend=-1))
+    counts = np.diff(heads, append=len(keys))
+    falling = np.argsort(-counts, kind="stable")
+    heads, counts = heads[falling], counts[falling]
+    often = int(np.count_nonzero(counts > _OFTEN))
+    out = values[order[heads]]
+    for r in range(1, min(int(counts[0]), _OFTEN)):
+        more = int(np.searchsorted(-counts, -r))
+        out[often:more] += values[order[heads[often:more] + r]]
+    for k in range(often):
+        out[k] = values[order[heads[k] : heads[k] + counts[k]]].sum(axis=0)
+    return ordered[heads], out
+
+
 def _logits(w: np.ndarray, f: np.ndarray) -> np.ndarray:
     out = w[f[:, 1]]
     out += w[f[:, 2]]

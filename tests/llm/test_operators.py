@@ -461,6 +461,18 @@ def test_votes_match_plain_cosines(spark):
         assert share.min() - 1e-6 <= vote <= share.max() + 1e-6
 
 
+def test_row_sums_add_rare_and_frequent_keys():
+    rng = np.random.default_rng(3)
+    for n, keys in ((1, 5), (300, 2), (4000, 900), (4000, 70_000)):
+        column = (rng.integers(0, keys, n) ** 2 // keys).astype(np.int32)
+        values = rng.integers(-9, 9, (n, 4)).astype(np.float32)
+        want = np.zeros((keys + 1, 4), dtype=np.float32)
+        np.add.at(want, column, values)
+        rows, sums = maxent.row_sums(column, values)
+        assert sorted(rows) == sorted(set(column.tolist()))
+        assert np.array_equal(sums, want[rows])
+
+
 def test_language_model_is_proper_and_its_base_exact(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(rng.choice([["the", "cat", "sat"], ["a", "dog", "ran"]]) * rng.randint(1, 9)) + f" rare{i % 90}") for i in range(400)]
