@@ -70,6 +70,19 @@ def test_bucket_heads_sort_no_rows(spark):
     assert "min(_hash" in _plan(out)
 
 
+def test_borrowing_rows_are_not_broadcast_whatever_the_size_of_their_file(spark, tmp_path):
+    spark.range(4000).selectExpr("id", "array(CAST(id AS double)) AS v").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    pairs = borrowed_rows(rows, "id", "v", 5, 2).groupBy("repeat").agg(F.count_distinct("borrowed").alias("n"), F.count("*").alias("rows"))
+    plan = pairs._jdf.queryExecution().executedPlan()
+    pairs._jdf.collectAsList()
+    final = plan.toString().split("Initial Plan")[0]
+    assert "isFinalPlan=true" in final
+    # One number per bucket may be broadcast, rows may not.
+    assert all("_hash" in line for line in final.splitlines() if "BroadcastHashJoin" in line)
+    assert {(r["n"], r["rows"]) for r in pairs.collect()} == {(4000, 4000)}
+
+
 def test_draws_of_a_large_class_are_spread_over_tasks(spark):
     quota = spark.createDataFrame([("a", 900_000, 1, 800_000), ("b", 10, 0, 0)], "_class string, cnt long, whole long, rest long")
     draws = class_draws(quota, 7)
