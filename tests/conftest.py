@@ -22,6 +22,14 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_kept():
+    """Tables that a module keeps in memory do not reach the tests of the next one."""
+    yield
+    if session := SparkSession.getActiveSession():
+        session.catalog.clearCache()
+
+
 @pytest.fixture
 def documents(spark):
     """Documents from Python dicts or JSON texts, numbered in the given order."""
